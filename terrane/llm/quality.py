@@ -17,6 +17,7 @@ Defined results
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,9 +32,28 @@ SYMBOL = r"[#*$%&|<>]"
 @dataclass(frozen=True)
 class Rule:
     name: str
-    rejects: Column
-    #: The same rule in SQL, for a reader who checks it elsewhere.
-    sql: str = ""
+    #: A Spark SQL condition over the columns of :func:`text_features`, true for a text to reject.
+    rejects: str
+    #: The same condition for another engine, where it reads differently.
+    other_sql: str = ""
+
+    @property
+    def sql(self) -> str:
+        return self.other_sql or self.rejects
+
+
+#: Rules for prose, loose on purpose: they name junk, and leave unusual prose alone.
+DEFAULT_RULES = (
+    Rule("symbols", "20 * n_symbols > word_chars"),
+    Rule("duplicate_lines", "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines"),
+    Rule("word_length", "word_chars > 20 * n_words OR word_chars < 2 * n_words"),
+    Rule(
+        "upper_case",
+        r"2 * regexp_count(_text, r'\p{Lu}') > word_chars",
+        r"2 * (length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g'))) > word_chars",
+    ),
+    Rule("digits", "4 * regexp_count(_text, '[0-9]') > word_chars", "4 * (length(text) - length(regexp_replace(text, '[0-9]', '', 'g'))) > word_chars"),
+)
 
 
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,32 +98,7 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def default_rules() -> list[Rule]:
-    """Rules for prose, loose on purpose: they name junk, and leave unusual prose alone."""
-    letters = F.regexp_count("_text", F.lit(r"\p{Lu}"))
-    digits = F.regexp_count("_text", F.lit("[0-9]"))
-    return [
-        Rule("symbols", 20 * F.col("n_symbols") > F.col("word_chars"), "20 * n_symbols > word_chars"),
-        Rule(
-            "duplicate_lines",
-            (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
-            "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines",
-        ),
-        Rule(
-            "word_length",
-            (F.col("word_chars") > 20 * F.col("n_words")) | (F.col("word_chars") < 2 * F.col("n_words")),
-            "word_chars > 20 * n_words OR word_chars < 2 * n_words",
-        ),
-        Rule(
-            "upper_case",
-            2 * letters > F.col("word_chars"),
-            r"2 * (length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g'))) > word_chars",
-        ),
-        Rule("digits", 4 * digits > F.col("word_chars"), "4 * (length(text) - length(regexp_replace(text, '[0-9]', '', 'g'))) > word_chars"),
-    ]
-
-
-def measure_rules(features: DataFrame, rules: list[Rule], sample_rows: int = 1000, seed: int = 17) -> list[dict]:
+def measure_rules(features: DataFrame, rules: Sequence[Rule], sample_rows: int = 1000, seed: int = 17) -> list[dict]:
     """Each rule's rejection rate and seconds over a sample of about ``sample_rows`` rows, most rejections per second first."""
     total = features.count()
     if not total or not rules:
@@ -118,13 +113,13 @@ def measure_rules(features: DataFrame, rules: list[Rule], sample_rows: int = 100
     n, idle = run(F.count(F.lit(1)))
     out = []
     for rule in rules:
-        hits, seconds = run(F.count_if(rule.rejects))
+        hits, seconds = run(F.count_if(F.expr(rule.rejects)))
         out.append({"name": rule.name, "rejects": hits / max(n, 1), "seconds": max(seconds - idle, 1e-3)})
     unstage(sample)
     return sorted(out, key=lambda x: (-x["rejects"] / x["seconds"], x["name"]))
 
 
-def cascade(features: DataFrame, rules: list[Rule], order: list[str]) -> DataFrame:
+def cascade(features: DataFrame, rules: Sequence[Rule], order: list[str]) -> DataFrame:
     """Add ``rejected_by``: the first rule, in the given order, that rejects the row; null for none.
 
     A CASE expression stops at its first true branch, so later rules are not evaluated for that row.
@@ -132,13 +127,13 @@ def cascade(features: DataFrame, rules: list[Rule], order: list[str]) -> DataFra
     by_name = {r.name: r for r in rules}
     verdict = F.lit(None).cast("string")
     for name in reversed(order):
-        verdict = F.when(by_name[name].rejects, F.lit(name)).otherwise(verdict)
+        verdict = F.when(F.expr(by_name[name].rejects), F.lit(name)).otherwise(verdict)
     return features.withColumn("rejected_by", verdict)
 
 
 def quality_rules(
     docs: DataFrame,
-    rules: list[Rule] | None = None,
+    rules: Sequence[Rule] = DEFAULT_RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
     sample_rows: int = 1000,
@@ -147,7 +142,6 @@ def quality_rules(
 
     ``sample_rows`` bounds the sample that orders the rules; it never changes a verdict.
     """
-    rules = default_rules() if rules is None else rules
     # The rules are measured on the texts of the sample alone: features are computed for its rows only.
     bare = docs.select(F.col(id_col), F.col(text_col))
     total = bare.count()

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import quality, secrets
+from terrane.llm import decontaminate, mixing, quality, secrets, simhash, token_shards
 from terrane.llm.common import read
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by").drop("rejected_by")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +23,40 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", secrets.digest("base_spans").alias("base_sha256"), secrets.render("spans").alias("spans"), "n_live", "n_example")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    m = F.col("_match")
+    return found.select(
+        "doc_id",
+        m["n_words"].alias("n_words"),
+        m["n_hit"].alias("n_hit"),
+        F.size(m["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(m["items"], ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+        m["longest"].alias("longest_match"),
+    )
+
+
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.training_order(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_mix_sources": op6_mix_sources,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_training_order": op9_training_order,
 }
 
 _W = r"[^\x20\x09-\x0D]+"
@@ -55,7 +86,7 @@ WITH d AS (
   SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM f
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT ({" OR ".join(f"({r.sql})" for r in quality.default_rules())}) AS kept
+       NOT base_failed AND NOT ({" OR ".join(f"({r.sql})" for r in quality.DEFAULT_RULES)}) AS kept
 FROM b
 """,
 }
