@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import decontaminate, mixing, quality, secrets, simhash, token_shards
+from terrane.llm import decontaminate, html, licenses, mixing, passages, quality, secrets, simhash, token_shards, toxicity
 from terrane.llm.common import read
 
 
@@ -28,10 +28,26 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.passage_classes(read(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    return found.select("doc_id", "class_id", "n_links", "n_dup_words", spans.alias("spans"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "_toxicity.expected_severity", "_toxicity.p_toxic", "_toxicity.severity", "_toxicity.toxic")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
     m = F.col("_match")
@@ -50,13 +66,21 @@ def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.training_order(read(spark, sf_dir, "documents"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
+    "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op9_training_order": op9_training_order,
+    "op10_html_text": op10_html_text,
 }
 
 _W = r"[^\x20\x09-\x0D]+"
