@@ -56,9 +56,14 @@ def keep_keys(tags: Column, keys: tuple[str, ...]) -> Column:
     return F.map_filter(tags, lambda k, _: k.isin(*keys))
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once for use in ``body``; without it an expression used twice is computed twice."""
+    return F.transform(F.array(value), body)[0]
+
+
 def merge_tags(first: Column, second: Column) -> Column:
     """Both maps; where both have a key, the second's value."""
-    return F.map_concat(F.map_filter(first, lambda k, _: ~F.map_contains_key(second, k)), second)
+    return let(second, lambda s: F.map_concat(F.map_filter(first, lambda k, _: ~F.map_contains_key(s, k)), s))
 
 
 def is_place(tags: Column) -> Column:
@@ -185,22 +190,25 @@ def similar_name(name: Column, short: Column, city: Column, phrases: list[str] |
 
 def parse_osmc(symbol: Column) -> Column:
     """``colour:background:foreground:text:textcolour`` as a map; a value without colons counts only if it is a colour."""
-    parts = F.split(symbol, ":", -1)
-    at = lambda i: F.get(parts, F.lit(i))
-    colour = lambda c: F.lower(c).isin(*COLOURS)
     many = symbol.contains(":")
-    short = F.length(at(3)) <= 5
-    pairs = {
-        "osmc": F.lit("yes"),
-        "osmc_color": F.when(F.when(many, colour(at(0))).otherwise(symbol.isin(*COLOURS)), at(0)),
-        "osmc_background": F.when(many, at(1)),
-        "osmc_foreground": F.when(many, at(2)),
-        "osmc_text_length": F.when(many & short, F.length(at(3)).cast("string")),
-        "osmc_text": F.when(many & short, at(3)),
-        "osmc_text_color": F.when(many & colour(at(4)), at(4)),
-    }
-    entries = F.array(*(F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.alias("v"))) for k, v in pairs.items()))
-    return F.when(F.coalesce(symbol, F.lit("")) == "", F.create_map().cast("map<string,string>")).otherwise(F.map_from_entries(F.array_compact(entries)))
+    colour = lambda c: F.lower(c).isin(*COLOURS)
+
+    def spread(parts: Column) -> Column:
+        at = lambda i: F.get(parts, F.lit(i))
+        short = F.length(at(3)) <= 5
+        pairs = {
+            "osmc": F.lit("yes"),
+            "osmc_color": F.when(F.when(many, colour(at(0))).otherwise(symbol.isin(*COLOURS)), at(0)),
+            "osmc_background": F.when(many, at(1)),
+            "osmc_foreground": F.when(many, at(2)),
+            "osmc_text_length": F.when(many & short, F.length(at(3)).cast("string")),
+            "osmc_text": F.when(many & short, at(3)),
+            "osmc_text_color": F.when(many & colour(at(4)), at(4)),
+        }
+        entries = F.array(*(F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.alias("v"))) for k, v in pairs.items()))
+        return F.map_from_entries(F.array_compact(entries))
+
+    return F.when(F.coalesce(symbol, F.lit("")) == "", F.create_map().cast("map<string,string>")).otherwise(let(F.split(symbol, ":", -1), spread))
 
 
 def route_colour(tags: Column) -> Column:
@@ -214,10 +222,12 @@ def merge_ref_name(name: Column, ref: Column) -> Column:
 
 def inherit_way_tags(route_tags: Column, way_tags: Column) -> Column:
     """The route's tags and those of the way's that pass on and are absent; ``highway`` moves to two keys of its own."""
-    own = merge_tags(keep_keys(way_tags, INHERITED_KEYS), route_tags)
-    road = own["highway"]
-    rest = F.map_filter(own, lambda k, _: k != "highway")
-    return F.when(road.isNull(), rest).otherwise(merge_tags(rest, F.create_map(F.lit("osmc_highway"), road, F.lit("lm_highway"), road)))
+    def moved(own: Column) -> Column:
+        road = own["highway"]
+        rest = F.map_filter(own, lambda k, _: k != "highway")
+        return F.when(road.isNull(), rest).otherwise(F.map_concat(F.map_filter(rest, lambda k, _: ~k.isin("osmc_highway", "lm_highway")), F.create_map(F.lit("osmc_highway"), road, F.lit("lm_highway"), road)))
+
+    return let(merge_tags(keep_keys(way_tags, INHERITED_KEYS), route_tags), moved)
 
 
 def admin_level(tags: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions import tags as T
 from terrane.operators.entities import expand_relations, with_seq
+from terrane.operators.shared import stage
 
 
 def tourist_relations(rel_info: DataFrame) -> DataFrame:
@@ -23,10 +24,14 @@ def route_tags(rel_info: DataFrame) -> DataFrame:
     colour = T.route_colour(t)
     some = lambda k, v: F.when(T.filled(v).isNotNull(), F.create_map(F.lit(k), v)).otherwise(F.create_map().cast("map<string,string>"))
     symbol = T.parse_osmc(t["osmc:symbol"])
-    out = T.merge_tags(T.merge_tags(T.merge_tags(kept, some("network", net)), some("name", name)), T.merge_tags(some("osmc_color", colour), symbol))
-    # A foreground that begins with its background's colour is not seen.
-    same = out["osmc_foreground"].startswith(out["osmc_background"])
-    return rel_info.select("id", F.when(F.coalesce(same & (F.length(out["osmc_background"]) > 0), F.lit(False)), F.map_filter(out, lambda k, _: k != "osmc_foreground")).otherwise(out).alias("tags"))
+    merged = T.merge_tags(T.merge_tags(T.merge_tags(kept, some("network", net)), some("name", name)), T.merge_tags(some("osmc_color", colour), symbol))
+
+    def seen(out):
+        # A foreground that begins with its background's colour is not seen.
+        same = F.coalesce(out["osmc_foreground"].startswith(out["osmc_background"]) & (F.length(out["osmc_background"]) > 0), F.lit(False))
+        return F.map_filter(out, lambda k, _: ~(same & (k == "osmc_foreground")))
+
+    return rel_info.select("id", T.let(merged, seen).alias("tags"))
 
 
 def way_routes(member: DataFrame, routes: DataFrame) -> DataFrame:
@@ -77,7 +82,8 @@ def export_ways(df: DataFrame, base_id: int, order: list[str]) -> DataFrame:
 def build_routes(member: DataFrame, rel_info: DataFrame, way: DataFrame, base_id: int) -> DataFrame:
     """New ways ``id, way_id, refs, tags``: one for each distinct tag set of the routes on a way."""
     routes = tourist_relations(rel_info)
-    sets = way_tag_sets(way_routes(member, routes), route_tags(routes))
+    # Written once: the joins below read them, rather than make them for every way.
+    sets = stage(way_tag_sets(way_routes(member, routes), stage(route_tags(routes), "route-tags")), "tag-sets")
     own = way.select(F.col("id").alias("way_id"), "refs", F.col("tags").alias("_w"))
     both = sets.join(own, "way_id").select("way_id", "rel_id", "refs", T.inherit_way_tags(F.col("tags"), F.col("_w")).alias("tags"))
     t = F.col("tags")

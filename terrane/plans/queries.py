@@ -20,6 +20,7 @@ from terrane.operators import spatial as S
 from terrane.operators import streets as ST
 from terrane.operators import tiles as TI
 from terrane.operators import usage as U
+from terrane.operators.shared import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -224,7 +225,7 @@ def way_routes(spark, d):
 WITH {_WAY_ROUTES} SELECT p.way_id, min(p.rel_id) AS rel_id, t.name, t.network FROM p JOIN t ON p.rel_id = t.id GROUP BY p.way_id, t.name, t.route, t.network, t.osmc_symbol""")
 def way_tag_sets(spark, d):
     routes = R.tourist_relations(rel_info(spark, d))
-    tags = R.route_tags(routes)
+    tags = stage(R.route_tags(routes), "route-tags")
     out = R.way_tag_sets(R.way_routes(lens(spark, d, "member"), routes), tags)
     return out.select("way_id", "rel_id", F.col("tags")["name"].alias("name"), F.coalesce(F.col("tags")["network"], F.lit("")).alias("network"))
 
@@ -241,7 +242,7 @@ f AS (SELECT *, CASE WHEN bare = 1 AND c = 'red' THEN -1 ELSE min(CASE WHEN colo
 WITH {_WAY_ROUTES}, {_ORDER} SELECT way_id, rel_id, colour, CASE WHEN spot IS NOT NULL THEN dense_rank() OVER (PARTITION BY way_id ORDER BY spot NULLS LAST) - 1 END AS osmc_order FROM f""")
 def route_order(spark, d):
     routes = R.tourist_relations(rel_info(spark, d))
-    tags = R.route_tags(routes).select(F.col("id").alias("rel_id"), *(F.col("tags")[k].alias(n) for k, n in (("route", "route"), ("network", "network"), ("osmc_color", "colour"), ("osmc_foreground", "foreground"))))
+    tags = stage(R.route_tags(routes), "route-tags").select(F.col("id").alias("rel_id"), *(F.col("tags")[k].alias(n) for k, n in (("route", "route"), ("network", "network"), ("osmc_color", "colour"), ("osmc_foreground", "foreground"))))
     pairs = R.way_routes(lens(spark, d, "member"), routes).join(tags, "rel_id").withColumn("pos", F.col("rel_id"))
     return R.osmc_order(pairs).select("way_id", "rel_id", "colour", "osmc_order")
 
@@ -393,7 +394,7 @@ def removed_houses(spark, d):
 
 @query("house", sql="""
 WITH b AS (SELECT street, CAST(round((min(lon) + max(lon)) / 2 * 100000) AS INTEGER) AS ox, CAST(round((min(lat) + max(lat)) / 2 * 100000) AS INTEGER) AS oy FROM house WHERE street <> '' GROUP BY street)
-SELECT h.street, count(*) AS n, sum(CAST(round(lon * 100000) AS INTEGER) - ox) AS dx, sum(CAST(round(lat * 100000) AS INTEGER) - oy) AS dy FROM house h JOIN b ON h.street = b.street GROUP BY h.street""")
+SELECT h.street, count(*) AS n, CAST(sum(CAST(round(lon * 100000) AS INTEGER) - ox) AS BIGINT) AS dx, CAST(sum(CAST(round(lat * 100000) AS INTEGER) - oy) AS BIGINT) AS dy FROM house h JOIN b ON h.street = b.street GROUP BY h.street""")
 def street_payload(spark, d):
     house = lens(spark, d, "house").where("street <> ''").withColumn("street_id", F.col("street"))
     out = H.nest_houses(house, house.select("street_id", "lon", "lat"))
