@@ -92,3 +92,8 @@ def build_routes(member: DataFrame, rel_info: DataFrame, way: DataFrame, base_id
     some = lambda k: F.when(F.col(k).isNotNull(), F.create_map(F.lit(k), F.col(k).cast("string"))).otherwise(F.create_map().cast("map<string,string>"))
     full = both.join(orders, ["way_id", "rel_id"], "left").withColumn("tags", T.merge_tags(t, T.merge_tags(some("osmc_order"), some("osmc_symbol_order"))))
     return export_ways(full.select("way_id", "rel_id", "refs", "tags"), base_id, ["way_id", "rel_id"]).select("id", "way_id", "refs", "tags")
+
+
+def network_junctions(node: DataFrame) -> DataFrame:
+    """Nodes that are numbered junctions, with a tag for each network they join."""
+    return node.where(T.is_junction(F.col("tags"))).withColumn("tags", T.junction_tags(F.col("tags")))

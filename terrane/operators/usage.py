@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def period_bounds(name: str, today: date) -> tuple[str | None, str | None]:
+    """First day and the day after the last of a named period: current_month, last_month, past_30_days, past_90_days, past_12_months, all."""
+    first = today.replace(day=1)
+    if name == "all":
+        return None, None
+    if name == "last_month":
+        return (first - timedelta(days=1)).replace(day=1).isoformat(), first.isoformat()
+    start = {
+        "current_month": first,
+        "past_30_days": today - timedelta(days=30),
+        "past_90_days": today - timedelta(days=90),
+        "past_12_months": first.replace(year=first.year - 1),
+    }[name]
+    return start.isoformat(), (today + timedelta(days=1)).isoformat()
+
+
 def in_period(events: DataFrame, start: str | None, end: str | None, ts: str = "ts") -> DataFrame:
     """Events from ``start`` (included) to ``end`` (excluded); the bounds reach the scan."""
     if start:

@@ -438,11 +438,12 @@ def pruned_paths(spark, d):
 
 @query("way_info", "member", sql="SELECT i.id, string_agg(DISTINCT CAST(m.rel_id AS VARCHAR), ',' ORDER BY CAST(m.rel_id AS VARCHAR)) AS cities FROM way_info i JOIN member m ON m.type = 'way' AND m.ref = i.id WHERE i.name = 'Street 5' AND m.rel_id % 10 IN (0, 5) GROUP BY i.id")
 def same_name_in_cities(spark, d):
-    street = lens(spark, d, "way_info")
-    held = lens(spark, d, "member").where("type = 'way' AND rel_id % 10 IN (0, 5)").select(F.col("ref").alias("street_id"), F.col("rel_id").alias("city_id"))
-    cities = held.withColumn("city_id", F.col("city_id"))
-    named = cities.join(street.where(F.col("name") == "Street 5").select(F.col("id").alias("street_id")), "street_id")
-    out = named.groupBy(F.col("street_id").alias("id")).agg(F.sort_array(F.collect_set(F.col("city_id").cast("string"))).alias("c"))
+    held = lens(spark, d, "member").where("type = 'way'").select(F.col("ref").alias("street_id"), F.col("rel_id").alias("city_id"))
+    held = held.withColumn("city_key", F.col("city_id")).withColumn("city_id", F.col("city_id") % 10)
+    street = lens(spark, d, "way_info").where(F.col("name") == "Street 5")
+    kept = ST.streets_in_cities(street, held, "Street 5", [0, 5]).select("id")
+    every = held.where("city_id IN (0, 5)").join(kept.withColumnRenamed("id", "street_id"), "street_id")
+    out = every.groupBy(F.col("street_id").alias("id")).agg(F.sort_array(F.collect_set(F.col("city_key").cast("string"))).alias("c"))
     return out.select("id", F.array_join("c", ",").alias("cities"))
 
 

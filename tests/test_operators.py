@@ -317,3 +317,19 @@ def test_upsert_keeps_and_adds(spark):
     assert sorted(tuple(r) for r in P.upsert_regions(dim, batch).collect()) == [(1, "a"), (2, "B"), (3, "c")]
     with pytest.raises(Exception, match="no English name"):
         P.fill_languages(spark.createDataFrame([(1, None, "x", "y")], "id long, en string, old_en string, cs string"), ["en", "cs"], strict=True).collect()
+
+
+def test_sub_city_junctions_and_periods(spark):
+    from datetime import date
+
+    from terrane.operators import routes as R
+    from terrane.operators.usage import period_bounds
+
+    polys = spark.createDataFrame([(5, [square(0, 0, 10)]), (6, [square(0, 0, 5)])], f"id long, geom array<{POLYGON}>")
+    lines = spark.createDataFrame([(1, [(1.0, 1.0), (2.0, 2.0)]), (2, [(1.0, 1.0), (7.0, 7.0)]), (3, [(9.0, 9.0), (12.0, 9.0)])], "id long, coords array<struct<lon:double,lat:double>>")
+    assert {tuple(r) for r in ST.sub_city(lines, polys).collect()} == {(1, 5), (2, 5)}
+    node = spark.createDataFrame([(1, 0.0, 0.0, {"rwn_ref": "7"}), (2, 0.0, 0.0, {"x": "y"})], NODE)
+    assert [(r.id, r.tags["hiking_node"]) for r in R.network_junctions(node).collect()] == [(1, "NLBE")]
+    assert period_bounds("last_month", date(2024, 3, 15)) == ("2024-02-01", "2024-03-01")
+    assert period_bounds("past_30_days", date(2024, 3, 15)) == ("2024-02-14", "2024-03-16")
+    assert period_bounds("past_12_months", date(2024, 3, 15))[0] == "2023-03-01" and period_bounds("all", date(2024, 1, 1)) == (None, None)
