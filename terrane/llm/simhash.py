@@ -88,7 +88,8 @@ def close_pairs(fps: DataFrame, crowd: int = 32) -> DataFrame:
     Members of a crowded cell are linked to the least holder of each shared value, not to each other.
     """
     near = fps.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
-    sizes = near.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written first: a join of two plain shuffles can be split where one cell holds very many fingerprints.
+    sizes = stage(near.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cell-sizes")
     shared = stage(near.join(sizes, "cell"), "cells")
     calm = shared.where(F.col("n") <= crowd).select("cell", "fp")
     other = calm.select("cell", F.col("fp").alias("fp2"))
@@ -114,6 +115,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     named = joined.join(least, "component").select("fp", "component_id")
     every = fps.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    every = stage(every, "named-fingerprints")  # and so can this one, where one fingerprint has very many documents
     return marked.join(every, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
