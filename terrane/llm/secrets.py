@@ -116,6 +116,8 @@ def scan_secrets(
     found = stage(found.withColumn("_blob", hashed(F.filter("_blob", lambda b: ~clear(b)))).withColumn("_base", hashed("_base")), "secrets")
     spans = found.where((F.size("_base") > 0) | (F.size("_blob") > 0)).select("_rid", "_owner", "_repo", F.explode(F.concat("_base", "_blob")).alias("s"))
     owners = ownership(spans.select(F.col("s.hash").alias("hash"), F.col("_owner").alias("owner"), F.col("_repo").alias("repo")))
+    # Written first: a join of two plain shuffles can be split where one value holds very many candidates.
+    owners = stage(owners, "owners")
     live = F.col("n_owners") <= max_owners
     judged = (
         spans.select("_rid", "s", F.col("s.hash").alias("hash"))
