@@ -123,6 +123,11 @@ def nearest_segment(points: DataFrame, segments: DataFrame, max_m: float) -> Dat
     points in their own, so a pair meets once a cell; the least of each point is a sum over rows.
     """
     deg = 4 * max_m * 180 / (G.PLAIN_RADIUS * 3.141592653589793)
+    # A long segment is entered in pieces of about a cell: the envelope of a slanting whole would take cells far from it.
+    n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))) / deg)).cast("int")
+    pieces = segments.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    along = lambda a, b, k: F.col(a) + (F.col(b) - F.col(a)) * k / F.col("_n")
+    segments = pieces.select("line_id", *(along(a, b, k).alias(c) for a, b, k, c in (("ax", "bx", F.col("_k"), "ax"), ("ay", "by", F.col("_k"), "ay"), ("ax", "bx", F.col("_k") + 1, "bx"), ("ay", "by", F.col("_k") + 1, "by"))))
     mid = (F.col("ay") + F.col("by")) / 2
     d = G.m_to_dlon_dlat(mid, F.lit(float(max_m) * 1.05))
     box = F.struct(
