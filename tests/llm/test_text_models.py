@@ -267,3 +267,26 @@ def test_pipeline_stages_match_plain_versions(spark):
     rows = corpus_pipeline.STAGES[-1][1](spark, cut, SF).collect()
     assert {r.doc_id for r in rows} == ids and sorted(r.slot for r in rows) == list(range(len(rows)))
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+def one_phrase_rows(r, groups=12, others=60):
+    """Unrelated texts around one phrase whose hash is least under the first function, and pairs that also share a passage around it."""
+    vocab = [f"word{i}" for i in range(20_000)]
+    seed = np.uint64(passages.xxhash.xxh64_intdigest("function 0"))
+    tries = [[f"p{i}{k}" for k in range(5)] for i in range(30_000)]
+    with np.errstate(over="ignore"):
+        h = np.concatenate([passages.shingle_hashes(" ".join(t)) for t in tries])
+        phrase = tries[int(passages._mix(h ^ seed).argmin())]
+    rows = []
+    for g in range(groups):
+        shared = r.choices(vocab, k=30), r.choices(vocab, k=30)
+        rows += [(2 * g + c, " ".join(r.choices(vocab, k=60) + shared[0] + phrase + shared[1] + r.choices(vocab, k=60))) for c in range(2)]
+    rows += [(1000 + i, " ".join(r.choices(vocab, k=90) + phrase + r.choices(vocab, k=90))) for i in range(others)]
+    return rows
+
+
+def test_passages_around_a_common_phrase_are_found(spark):
+    rows = one_phrase_rows(random.Random(11))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.a, x.b) for x in passages.similar_passages(df, functions=1, agree=1).collect()}
+    assert got == {(2 * g + 1, 2 * g) for g in range(12)}
