@@ -290,3 +290,23 @@ def test_passages_around_a_common_phrase_are_found(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(x.a, x.b) for x in passages.similar_passages(df, functions=1, agree=1).collect()}
     assert got == {(2 * g + 1, 2 * g) for g in range(12)}
+
+
+def test_recall_of_short_passages_near_the_limit(spark):
+    r = random.Random(17)
+    vocab = [f"word{i}" for i in range(20_000)]
+    rows, want = [], set()
+    for i in range(200):
+        n = r.choice((50, 50, 60, 80, 100))
+        passage = r.choices(vocab, k=n)
+        copy = list(passage)
+        for k in range(n // 50):
+            copy[n * (2 * k + 1) // (2 * (n // 50))] = f"changed{k}"
+        x, y = (set(passages.shingle_hashes(" ".join(p)).tolist()) for p in (passage, copy))
+        for c, p in enumerate((passage, copy)):
+            rows.append((2 * i + c, " ".join(p)))
+        if len(x & y) >= 0.8 * len(x | y):
+            want.add((2 * i + 1, 2 * i))
+    got = {(x.a, x.b) for x in passages.similar_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 150 and got <= {(2 * i + 1, 2 * i) for i in range(200)}
+    assert len(got & want) >= 0.98 * len(want), len(got & want) / len(want)
