@@ -171,8 +171,7 @@ def house_hulls(spark, d):
 
 @query("boundary_ring", "osm_node")
 def residential_cells(spark, d):
-    built = lens(spark, d, "osm_node").where("id % 7 = 0")
-    return A.residential_areas(boundary(spark, d).where("admin_level = 6"), built, cell_m=50.0)[0]
+    return A.residential_areas(boundary(spark, d).where("admin_level = 6"), lens(spark, d, "osm_node"))[0]
 
 
 @query("house", "osm_node", "way_node")
