@@ -31,7 +31,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.passage_classes(read(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
-    return found.select("doc_id", "class_id", "n_links", "n_dup_words", spans.alias("spans"))
+    return found.select("doc_id", "class_id", "n_dup_words", spans.alias("spans"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -204,6 +204,24 @@ def test_compact_windows_match_their_definition(top):
             assert got == plain_windows(v.tolist(), least)
 
 
+def test_windows_of_texts_end_to_end_are_those_of_each_text():
+    r = np.random.default_rng(4)
+    texts = [r.integers(0, top, n).astype(np.uint64) for top, n in ((9, 30), (10**9, 3), (10**9, 200), (2, 50), (5, 0), (10**9, 7))]
+    begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = list(zip(*(x.tolist() for x in passages.compact_windows(np.concatenate(texts), 7, begins)), strict=True))
+    assert got == [tuple(int(begins[i] + x) for x in w) for i, t in enumerate(texts) for w in plain_windows(t.tolist(), 7)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 300])
+def test_interval_join_of_windows_matches_all_pairs(n):
+    r = np.random.default_rng(n)
+    p, q, f, x, y, u, v = (r.integers(lo, hi, n) for lo, hi in ((60, 60 + 9 * n), (60, 99), (0, 6), (0, 46), (0, 46), (0, 46), (0, 46)))
+    at_a, at_b = ((p << 27) | (f << 24) | (np.maximum(x, y) << 12) | np.minimum(x, y)), ((q << 27) | (f << 24) | (np.maximum(u, v) << 12) | np.minimum(u, v))
+    runs = [(p[i] - max(x[i], y[i]), p[i] - min(x[i], y[i]), q[i] - max(u[i], v[i]), q[i] - min(u[i], v[i]), f[i]) for i in range(n)]
+    want = [any(a[4] != b[4] and a[0] <= b[1] and b[0] <= a[1] and a[2] <= b[3] and b[2] <= a[3] for b in runs) for a in runs]
+    assert passages.joined_windows(at_a, at_b).tolist() == want
+
+
 def test_compact_windows_cover_every_run_once():
     v = np.random.default_rng(9).integers(0, 10**6, 80).astype(np.uint64)
     lo, p, hi = passages.compact_windows(v, 10)
@@ -212,6 +230,11 @@ def test_compact_windows_cover_every_run_once():
             assert [int(x) for x in p[(lo <= i) & (i <= p) & (p <= j) & (j <= hi)]] == [i + int(v[i : j + 1].argmin())]
 
 
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
 def prose(r, n):
     return [f"w{r.randrange(3000)}" for _ in range(n)]
 
@@ -246,7 +269,7 @@ def test_verified_passages_are_similar(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
     for x in passages.similar_passages(docs).collect():
-        a, b = (set(passages.shingle_hashes(" ".join((texts[d] or "").encode().lower().decode().split()[s:e])).tolist()) for d, s, e in ((x.a, x.a_start, x.a_end), (x.b, x.b_start, x.b_end)))
+        a, b = (shingles(" ".join((texts[d] or "").encode().lower().decode().split()[s:e])) for d, s, e in ((x.a, x.a_start, x.a_end), (x.b, x.b_start, x.b_end)))
         assert len(a & b) >= 0.8 * len(a | b) and max(x.a_end - x.a_start, x.b_end - x.b_start) >= 50
 
 
@@ -274,9 +297,8 @@ def one_phrase_rows(r, groups=12, others=60):
     vocab = [f"word{i}" for i in range(20_000)]
     seed = np.uint64(passages.xxhash.xxh64_intdigest("function 0"))
     tries = [[f"p{i}{k}" for k in range(5)] for i in range(30_000)]
-    with np.errstate(over="ignore"):
-        h = np.concatenate([passages.shingle_hashes(" ".join(t)) for t in tries])
-        phrase = tries[int(passages._mix(h ^ seed).argmin())]
+    h = passages.shingle_hashes([" ".join(t) for t in tries])[0]
+    phrase = tries[int(passages._mix(h ^ seed).argmin())]
     rows = []
     for g in range(groups):
         shared = r.choices(vocab, k=30), r.choices(vocab, k=30)
@@ -302,7 +324,7 @@ def test_recall_of_short_passages_near_the_limit(spark):
         copy = list(passage)
         for k in range(n // 50):
             copy[n * (2 * k + 1) // (2 * (n // 50))] = f"changed{k}"
-        x, y = (set(passages.shingle_hashes(" ".join(p)).tolist()) for p in (passage, copy))
+        x, y = (shingles(" ".join(p)) for p in (passage, copy))
         for c, p in enumerate((passage, copy)):
             rows.append((2 * i + c, " ".join(p)))
         if len(x & y) >= 0.8 * len(x | y):
@@ -310,3 +332,44 @@ def test_recall_of_short_passages_near_the_limit(spark):
     got = {(x.a, x.b) for x in passages.similar_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(want) > 150 and got <= {(2 * i + 1, 2 * i) for i in range(200)}
     assert len(got & want) >= 0.98 * len(want), len(got & want) / len(want)
+
+
+@pytest.mark.parametrize("changed,least", [(0, 1.0), (1, 0.98)])
+def test_passages_round_one_common_line_are_found(spark, changed, least):
+    """Pairs of passages of 54 words and more in documents that all have one line of 20 words in the middle of them."""
+    r = random.Random(23)
+    vocab = [f"word{i}" for i in range(20_000)]
+    line = r.choices(vocab, k=20)
+    rows, want = [], set()
+    for i in range(200):
+        n = 17 if not changed else r.randrange(20, 30)
+        left, right = r.choices(vocab, k=n), r.choices(vocab, k=n)
+        passage = left + line + right
+        copy = list(passage)
+        for k in range(changed):
+            copy[r.randrange(4, n - 4)] = f"changed{k}"
+        x, y = shingles(" ".join(passage)), shingles(" ".join(copy))
+        rows += [(2 * i + c, " ".join(r.choices(vocab, k=50) + p + r.choices(vocab, k=50))) for c, p in enumerate((passage, copy))]
+        if len(x & y) >= 0.8 * len(x | y):
+            want.add((2 * i + 1, 2 * i))
+    got = {(x.a, x.b) for x in passages.similar_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 150 and got <= {(2 * i + 1, 2 * i) for i in range(200)}
+    assert len(got & want) >= least * len(want), len(got & want) / len(want)
+
+
+def test_variants_of_one_passage_are_one_class_and_copies_cost_no_pairs(spark):
+    """300 variants of a passage, each changed in its own place, and 500 copies of one of them."""
+    r = random.Random(29)
+    vocab = [f"word{i}" for i in range(20_000)]
+    passage = r.choices(vocab, k=120)
+    rows = []
+    for i in range(300):
+        p = list(passage)
+        for k in r.sample(range(120), 2):
+            p[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(r.choices(vocab, k=30) + p + r.choices(vocab, k=30))))
+    rows += [(1000 + i, rows[7][1]) for i in range(500)] + [(None, rows[7][1]), (2000, rows[8][1] + " more"), (2000, "another text of the same id " * 9)]
+    got = {x.doc_id: x for x in passages.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {*range(300), *range(1000, 1500), 2000}
+    assert {x.class_id for x in got.values()} == {0}
+    assert all(got[i].n_dup_words == 180 for i in range(1000, 1500))
