@@ -23,25 +23,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a new one where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``; where it is unset, a new one on a single machine, and an error on a cluster."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc.applicationId not in _own_dirs:
         _own_dirs[sc.applicationId] = "file:" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return _own_dirs[sc.applicationId]
 
 
+#: Spark's setting that removes a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks it ran since, not the
-    whole plan. The folder's name is unique, so reruns never meet.
+    whole plan. The folder's name is unique, so reruns never meet. What was
+    shuffled for the write is not needed after it and goes at once.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
