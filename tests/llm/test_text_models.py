@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terrane.llm import html, licenses, passages, toxicity
+from terrane.llm import html, licenses, passages, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,7 +116,7 @@ def test_repeated_runs_of_a_host_go_and_unique_runs_stay(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", f"<div><p>{menu}</p><p>own{i} words of{i} page{i} number{i} alone{i}</p><p>{menu} tail{i}</p></div>", None) for i in range(10)]
     rows.append((50, "http://other.example/", f"<p>{menu}</p>", None))
     rows.append((51, "http://h0.example/z", f"<article><p>{menu}</p></article>", None))
-    got = {r.page_id: r.text for r in html.extract_text(page(spark, rows), min_tokens=6).collect()}
+    got = {r.page_id: r.text for r in html.extract_text(page(spark, rows), min_tokens=6, long_tokens=8).collect()}
     assert got[50] == menu and got[51] == menu
     for i in range(10):
         assert got[i] == f"own{i} words of{i} page{i} number{i} alone{i}\ntail{i}"
@@ -129,7 +129,7 @@ def test_covered_tokens_match_a_plain_suffix_array(spark):
     r = random.Random(8)
     texts = {i: r.choices("a b c".split(), k=r.randrange(0, 40)) for i in range(12)}
     rows = [(i, "http://h.example/", f"<p>{' '.join(t)}</p>", None) for i, t in texts.items()]
-    got = {x.page_id: x.text for x in html.extract_text(page(spark, rows), min_tokens=4, min_pages=3).collect()}
+    got = {x.page_id: x.text for x in html.extract_text(page(spark, rows), min_tokens=4, min_pages=3, long_tokens=6).collect()}
     suffixes = sorted((t[i:], p, i) for p, t in texts.items() for i in range(len(t)) if len(t) - i >= 4)
     gone = defaultdict(set)
     at = 0
@@ -141,7 +141,96 @@ def test_covered_tokens_match_a_plain_suffix_array(spark):
             for _, p, i in suffixes[at:end]:
                 gone[p].update(range(i, i + 4))
         at = end
-    assert got == {p: " ".join(w for i, w in enumerate(t) if i not in gone[p]) for p, t in texts.items()}
+    want = {}
+    for p, t in texts.items():
+        if len(gone[p]) == len(t):
+            want[p] = ""
+            continue
+        runs, left = [], sorted(gone[p])
+        for i in left:
+            if runs and runs[-1][-1] == i - 1:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        out = {i for run in runs if len(run) >= 6 for i in run}
+        want[p] = " ".join(w for i, w in enumerate(t) if i not in out)
+    assert got == want
+
+
+def test_phrases_of_a_large_host_stay(spark):
+    menu = "home news sport weather all about us here"
+    rows = [(i, "http://h.example/", f"<div><p>{menu}</p><p>page{i} says one two three four five six on day{i}</p><p>{'seldom said by any page here' if i % 40 == 0 else f'own{i}'}</p></div>", None) for i in range(200)]
+    got = {x.page_id: x.text for x in html.extract_text(page(spark, rows)).collect()}
+    # Five pages are under a twentieth of the host; a run of six tokens inside a block is a phrase.
+    assert all(got[i] == f"page{i} says one two three four five six on day{i}\n" + ("seldom said by any page here" if i % 40 == 0 else f"own{i}") for i in range(200))
+
+
+@pytest.mark.parametrize(
+    "markup,text",
+    [
+        ('<div class="page with-sidebar no-ads"><article><p>kept</p></article></div>', "kept"),
+        ('<div id="comments-wrapper"><article>kept</article></div>', "kept"),
+        ('<article><p class="warning">kept</p><ul class="toc-entry"><li>too</ul><div class="share-bar">gone</div></article>', "kept\ntoo"),
+        ('<article><p title="the hidden truth">a</p><p title="id = search">b</p><p data-x="class=ad">c</p><p hidden>d</p><p style="display: none">e</p></article>', "a\nb\nc"),
+        ("<svg/><article>kept<svg><text>gone</text></svg></article>", "kept"),
+        ("<article><p>" + "main words " * 9 + "</p></article><article><p>teaser words</p></article>", ("main words " * 9).strip()),
+        ("<main><h1>Title</h1><article>" + "main words " * 9 + "</article><article>short</article></main>", "Title\n" + ("main words " * 9).strip()),
+        ("<article>" + "one text " * 5 + "</article><article>" + "two text " * 5 + "</article>", ("one text " * 5).strip() + "\n" + ("two text " * 5).strip()),
+        ("<article>kept</article><div class=comments><article>reader says more than that</article></div>", "kept"),
+        ("<aside><article>only a teaser</article></aside>", ""),
+        ("<form><article>kept<form>gone</form></article></form>", "kept"),
+        ("<article>a</article></div></article><p>b", "a"),
+    ],
+)
+def test_articles_and_what_is_round_them(markup, text):
+    assert "\n".join(t for kind, t in html.blocks(markup) if not kind) == text
+
+
+def test_long_pages_are_read_in_one_pass():
+    import time
+
+    began = time.perf_counter()
+    page_ = "<article>" + "</i></b></span>" * 60_000 + "<p>text</p>" * 30_000 + "<div>" * 20_000 + "deep" + "</article>" + "<!--" * 5_000
+    found = [t for kind, t in html.blocks(page_) if not kind]
+    assert found == ["text"] * 30_000 + ["deep"] and time.perf_counter() - began < 20
+
+
+def test_given_pages_match_a_plain_parser(spark):
+    from html.parser import HTMLParser
+
+    import duckdb
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.out, self.now = False, [], ""
+
+        def cut(self):
+            if self.inside and self.now.split():
+                self.out.append(" ".join(self.now.split()))
+            self.now = ""
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("article", "p", "h1"):
+                self.cut()
+            self.inside |= tag == "article"
+            self.now += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            if tag in ("article", "p", "h1"):
+                self.cut()
+            self.inside &= tag != "article"
+
+        def handle_data(self, data):
+            self.now += data
+
+    pages = duckdb.sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall()
+    got = {x.page_id: x.text for x in queries.op10_html_text(spark, SF).collect()}
+    assert len(got) == len(pages)
+    for key, markup in pages:
+        plain = Plain()
+        plain.feed(markup or "")
+        assert got[key] == "\n".join(plain.out)
 
 
 # Licenses
