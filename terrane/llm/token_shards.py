@@ -1,10 +1,12 @@
 """Token ids in training order, in shards of a fixed stride.
 
 Texts are encoded with a public byte-level BPE vocabulary, closed by an
-end-of-text id and cut into sequences. The sequences are numbered 0 to N-1, and
-a keyed Feistel network with cycle-walking permutes those numbers: that is a
-sequence's slot, known from the key alone, without a sort or a table of random
-numbers. Slots are dealt out by range, ``stride`` to a shard, and every sequence
+end-of-text id and cut into sequences. The sequences are numbered 0 to N-1 in the
+order of a hash of id, text and chunk, whatever the partitions of the input: they
+are dealt to tasks by ranges of the hash, sorted there, and the ranges' counts
+give each its first number. A keyed Feistel network with cycle-walking permutes
+the numbers; that is a sequence's slot. So the slots follow from the rows and the
+key alone. Slots are dealt out by range, ``stride`` to a shard, and every sequence
 is padded to the same bytes, so slot k is row ``k % stride`` of shard
 ``k // stride`` and a reader can go on from any slot.
 
@@ -13,7 +15,9 @@ Decoding the sequences of a document in chunk order gives its text again.
 Defined results
     null or empty text    one sequence with the end-of-text id alone; reads back as the empty text
     very long text        encoded in blocks that end where the encoding cannot depend on what follows
-    repeated rows         sequences of their own
+    repeated rows         sequences of their own; rows that are equal in id and text are told apart by nothing,
+                          so it does not matter which of them has which of their slots
+    ties                  of the hash: by id, chunk and tokens
     null id               kept
     empty table           no rows
     extra columns         ignored
@@ -77,8 +81,8 @@ def encode(text: str, enc, known: dict[str, bytes]) -> bytes:
 
 
 def token_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 512, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``id, chunk, n_tokens, tokens``: sequences of at most ``length`` ids, two bytes each, little-endian."""
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    """``_id, doc, chunk, n_tokens, tokens``: sequences of at most ``length`` ids, two bytes each, little-endian; ``doc`` is a hash of id and text."""
+    source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_doc"), F.col(text_col).alias("_text"))
     kind = dict(source.dtypes)["_id"]
     end = np.array([END_OF_TEXT], ID_TYPE).tobytes()
     step = length * ID_TYPE.itemsize
@@ -88,10 +92,10 @@ def token_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            for key, text in zip(batch["_id"], batch["_text"], strict=True):
+            for key, doc, text in zip(batch["_id"], batch["_doc"], batch["_text"], strict=True):
                 ids = encode(text or "", enc, known) + end
                 key = None if pd.isna(key) else key
-                rows += [(key, k, min(step, len(ids) - i) // ID_TYPE.itemsize, ids[i : i + step]) for k, i in enumerate(range(0, len(ids), step))]
+                rows += [(key, doc, k, min(step, len(ids) - i) // ID_TYPE.itemsize, ids[i : i + step]) for k, i in enumerate(range(0, len(ids), step))]
                 held += len(ids)
                 if held > 8 << 20:
                     yield _frame(rows)
@@ -99,10 +103,10 @@ def token_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield _frame(rows)
 
     def _frame(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["_id", "chunk", "n_tokens", "tokens"])
+        frame = pd.DataFrame(rows, columns=["_id", "doc", "chunk", "n_tokens", "tokens"])
         return frame.astype({"_id": "Int64"}) if kind in ("int", "bigint") else frame
 
-    return source.mapInPandas(run, f"_id {kind}, chunk int, n_tokens int, tokens binary")
+    return source.mapInPandas(run, f"_id {kind}, doc long, chunk int, n_tokens int, tokens binary")
 
 
 def feistel(index: np.ndarray, n: int, key: int, rounds: int = 4) -> np.ndarray:
@@ -143,46 +147,59 @@ def training_order(
     key: int = 20_240_229,
     vocabulary: str = VOCABULARY,
 ) -> DataFrame:
-    """All sequences by slot: ``slot, shard, id, chunk, n_tokens, tokens``; tokens padded to ``length`` ids with the end-of-text id.
+    """All sequences by slot: ``slot, shard, id, doc, chunk, n_tokens, tokens``; tokens padded to ``length`` ids with the end-of-text id.
 
     Rows are dealt to tasks by range of the slot and sorted there, so files hold consecutive slots.
     """
-    # The number is the task's and the row's in it; both are written with the row and stay as they are.
-    rows = stage(token_sequences(docs, id_col, text_col, length, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "sequences")
-    # One row for each task that wrote: as many as the input has partitions, whatever its rows.
-    counts = rows.groupBy(F.shiftright("_at", 33).alias("_task")).agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect()
+    spark = docs.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = token_sequences(docs, id_col, text_col, length, vocabulary).withColumn("_h", F.xxhash64("doc", "chunk"))
+    # Ranges of equal width of the upper 31 bits, in the order of the hash as a signed number. How many there are
+    # decides which one a row is in, but not its place in the whole.
+    upper = F.shiftrightunsigned(F.col("_h").bitwiseXOR(F.lit(-(1 << 63))), 33)
+    dealt = hashed.withColumn("_range", F.floor(upper * tasks / (1 << 31)).cast("int"))
+    sorted_ = dealt.repartitionById(tasks, F.col("_range")).sortWithinPartitions("_range", "_h", "_id", "chunk", "tokens")
+    # The number is the row's in its task; it is written with the row and stays as it is.
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = stage(sorted_.withColumn("_at", in_task).drop("_h"), "sequences")
+    # One row for each range: as many as the shuffle has partitions, whatever the input's rows.
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("least")).orderBy("_range").collect()
     n = sum(r["n"] for r in counts)
     starts, total = [], 0
     for r in counts:
-        starts.append((r["_task"], total))
+        starts.append((r["_range"], total - r["least"]))
         total += r["n"]
-    offsets = docs.sparkSession.createDataFrame(starts, "_task long, _start long")
-    numbered = rows.withColumn("_task", F.shiftright("_at", 33)).join(F.broadcast(offsets), "_task")
-    index = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    slots = numbered.withColumn("slot", _slot(index, n, key))
+    offsets = spark.createDataFrame(starts, "_range int, _start long")
+    index = F.col("_start") + F.col("_at")
+    slots = rows.join(F.broadcast(offsets), "_range").withColumn("slot", _slot(index, n, key))
     # Slots are dense and known to be even, so their ranges need no sample of the data.
     shards = max(1, -(-n // stride))
-    parts = max(1, min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
+    parts = max(1, min(shards, tasks * 4))
     shard = F.floor(F.col("slot") / stride).cast("long")
-    dealt = slots.withColumn("shard", shard).withColumn("_part", F.floor(F.col("shard") * parts / shards).cast("int"))
-    dealt = dealt.repartitionById(parts, F.col("_part")).sortWithinPartitions("slot")
+    ordered = slots.withColumn("shard", shard).withColumn("_part", F.floor(F.col("shard") * parts / shards).cast("int"))
+    ordered = ordered.repartitionById(parts, F.col("_part")).sortWithinPartitions("slot")
     pad = np.full(length, END_OF_TEXT, ID_TYPE).tobytes()
     padded = F.concat("tokens", F.substring(F.lit(pad), F.lit(1), F.lit(len(pad)) - F.octet_length("tokens")))
-    return dealt.select("slot", "shard", F.col("_id").alias(id_col), "chunk", "n_tokens", padded.alias("tokens"))
+    return ordered.select("slot", "shard", F.col("_id").alias(id_col), "doc", "chunk", "n_tokens", padded.alias("tokens"))
 
 
-def write_shards(ordered: DataFrame, path: str) -> None:
-    """One folder per shard; in it, rows of a fixed number of bytes in slot order."""
-    ordered.write.partitionBy("shard").parquet(path)
+def write_shards(ordered: DataFrame, path: str, per_folder: int = 1024) -> None:
+    """Rows of a fixed number of bytes in slot order, ``per_folder`` shards to a folder.
+
+    A task has consecutive slots, so its files do too, and a reader skips files and row groups by their least and largest slot.
+    """
+    folders = ordered.withColumn("folder", F.floor(F.col("shard") / per_folder).cast("long"))
+    folders.sortWithinPartitions("folder", "slot").write.partitionBy("folder").parquet(path)
 
 
-def read_from(spark: SparkSession, path: str, slot: int, stride: int) -> DataFrame:
-    """Go on reading at ``slot``: earlier shards are not opened."""
-    return spark.read.parquet(path).where((F.col("shard") >= slot // stride) & (F.col("slot") >= slot)).orderBy("slot")
+def read_from(spark: SparkSession, path: str, slot: int, stride: int, per_folder: int = 1024) -> DataFrame:
+    """Go on reading at ``slot``: earlier folders are not opened, earlier shards are skipped."""
+    rows = spark.read.parquet(path).where((F.col("folder") >= slot // stride // per_folder) & (F.col("slot") >= slot))
+    return rows.drop("folder").orderBy("slot")
 
 
 def decode(sequences: DataFrame, id_col: str = "doc_id", vocabulary: str = VOCABULARY) -> DataFrame:
-    """``id, text`` again: a document's sequences joined in chunk order, without padding and end-of-text id."""
+    """``id, text`` again: a document's sequences joined in chunk order, without padding and end-of-text id; a row for each copy of it."""
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
@@ -190,6 +207,9 @@ def decode(sequences: DataFrame, id_col: str = "doc_id", vocabulary: str = VOCAB
         return ids.map(lambda b: enc.decode(np.frombuffer(b, ID_TYPE)[:-1].tolist()))
 
     own = F.substring(F.col("tokens"), F.lit(1), F.col("n_tokens") * ID_TYPE.itemsize)
-    parts = sequences.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("chunk", own.alias("b")))).alias("p"))
-    joined = F.aggregate(F.col("p"), F.lit(b""), lambda a, x: F.concat(a, x["b"]))
-    return parts.select(id_col, text(joined).alias("text"))
+    # Copies of a row fall together before its chunks are gathered.
+    once = sequences.groupBy(id_col, "doc", "chunk").agg(F.min(own).alias("b"), F.count(F.lit(1)).alias("copies"))
+    parts = once.groupBy(id_col, "doc").agg(F.array_sort(F.collect_list(F.struct("chunk", "b"))).alias("p"), F.min("copies").alias("copies"))
+    joined = F.concat_ws("", F.transform("p", lambda x: F.hex(x["b"])))
+    read = parts.select(id_col, "copies", text(F.unhex(joined)).alias("text"))
+    return read.select(id_col, "text", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy")).drop("_copy")

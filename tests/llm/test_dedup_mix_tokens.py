@@ -218,6 +218,57 @@ def test_shards_can_be_read_on_from_any_slot(spark, tmp_path):
     assert [r.slot for r in got] == list(range(13, n))
 
 
+def test_slots_do_not_depend_on_partitions(spark):
+    df = some_docs(spark, [f"text number {i} of some length " * (1 + i % 7) for i in range(120)] + [None, "", ""])
+    df = df.union(df.where("doc_id % 10 = 0"))
+
+    def slots(n, tasks):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        try:
+            rows = token_shards.training_order(df.repartition(n), length=16, stride=8).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
+        return {r.slot: (r.doc_id, r.chunk, bytes(r.tokens)) for r in rows}
+
+    want = slots(1, 8)
+    assert slots(7, 8) == want and slots(50, 3) == want
+    # The numbers that are permuted are the ranks by hash, then id, chunk and tokens.
+    h = spark.createDataFrame([(d, c) for d, c, _ in want.values()], "doc_id long, chunk int").distinct().join(df.select("doc_id", F.xxhash64("doc_id", "text").alias("doc")).distinct(), "doc_id")
+    by_key = {(r.doc_id, r.chunk): r.h for r in h.select("doc_id", "chunk", F.xxhash64("doc", "chunk").alias("h")).collect()}
+    ranked = sorted(want.values(), key=lambda x: (by_key[x[:2]], x))
+    n = len(ranked)
+    place = token_shards.feistel(np.arange(n), n, 20_240_229)
+    assert {int(place[i]): x for i, x in enumerate(ranked)} == want
+
+
+def test_copies_are_decoded_each(spark):
+    df = some_docs(spark, ["a long text " * 30, "short", None])
+    twice = df.union(df.where("doc_id < 2")).union(spark.createDataFrame([(1, "another text of the same id", "en", "s", 0)], DOCS))
+    got = sorted((r.doc_id, r.text) for r in token_shards.decode(token_shards.training_order(twice, length=16, stride=8)).collect())
+    assert got == sorted([(0, "a long text " * 30)] * 2 + [(1, "short")] * 2 + [(1, "another text of the same id"), (2, "")])
+
+
+def plain_feistel(x, n, key, rounds=4):
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    full, mask = (1 << 64) - 1, (1 << half) - 1
+    while True:
+        left, right = x >> half, x & mask
+        for r in range(rounds):
+            z = (right + key + r * 0x9E3779B97F4A7C15) & full
+            z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & full
+            z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & full
+            left, right = right, left ^ ((z ^ (z >> 31)) & mask)
+        x = (left << half) | right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 7, 1000])
+def test_feistel_matches_plain_numbers(n):
+    assert token_shards.feistel(np.arange(n), n, 99).tolist() == [plain_feistel(i, n, 99) for i in range(n)]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 4097])
 def test_feistel_is_a_permutation(n):
     out = token_shards.feistel(np.arange(n), n, 5)
