@@ -59,25 +59,42 @@ def encoder(vocabulary: str):
 
 #: A place where a text can be cut: before a space that stands alone between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space that does not stand alone, or not between other characters.
+_UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
 
 
-def encode(text: str, enc, known: dict[str, bytes]) -> bytes:
+class Pieces(dict):
+    """The ids of what follows a space that stands alone, with that space; encoded on first sight and remembered if short."""
+
+    def __init__(self, enc):
+        super().__init__()
+        self.enc = enc
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.array(self.enc.encode_ordinary(f" {piece}"), ID_TYPE).tobytes()
+        if len(piece) < 40:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+_pieces: dict[str, Pieces] = {}
+
+
+def pieces(vocabulary: str) -> Pieces:
+    """What this worker has encoded so far: it is kept from one task to the next."""
+    if vocabulary not in _pieces:
+        _pieces[vocabulary] = Pieces(encoder(vocabulary))
+    return _pieces[vocabulary]
+
+
+def encode(text: str, known: Pieces) -> bytes:
     """The ids of a text. A space that stands alone starts a piece, so the text between two such spaces is encoded by itself."""
     if not text:
         return b""
-    chunks = _CUT.split(text)
-    chunks[1:] = [" " + c for c in chunks[1:]]
-    out = []
-    for c in chunks:
-        ids = known.get(c)
-        if ids is None:
-            ids = np.array(enc.encode_ordinary(c), ID_TYPE).tobytes()
-            if len(c) < 40:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[c] = ids
-        out.append(ids)
-    return b"".join(out)
+    first, *rest = _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
+    return np.array(known.enc.encode_ordinary(first), ID_TYPE).tobytes() + b"".join(map(known.__getitem__, rest))
 
 
 def token_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 512, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -88,12 +105,12 @@ def token_sequences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     step = length * ID_TYPE.itemsize
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, known = encoder(vocabulary), {}
+        known = pieces(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             held = 0
             for key, doc, text in zip(batch["_id"], batch["_doc"], batch["_text"], strict=True):
-                ids = encode(text or "", enc, known) + end
+                ids = encode(text or "", known) + end
                 key = None if pd.isna(key) else key
                 rows += [(key, doc, k, min(step, len(ids) - i) // ID_TYPE.itemsize, ids[i : i + step]) for k, i in enumerate(range(0, len(ids), step))]
                 held += len(ids)

@@ -206,7 +206,7 @@ def test_token_sequences_round_trip(spark):
     assert back == {i: t or "" for i, t in enumerate(texts)}
     enc = token_shards.encoder(token_shards.VOCABULARY)
     for t in texts:
-        assert np.frombuffer(token_shards.encode(t or "", enc, {}), "<u2").tolist() == enc.encode_ordinary(t or "")
+        assert np.frombuffer(token_shards.encode(t or "", token_shards.Pieces(enc)), "<u2").tolist() == enc.encode_ordinary(t or "")
     assert token_shards.training_order(df.limit(0)).collect() == []
 
 
