@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
 from terrane.functions import tags as T
+from terrane.operators.kernels import jaro_winkler
 from terrane.schema import CITY_TYPES
 
 
@@ -35,6 +36,14 @@ def combine_city_boundary(city: DataFrame, boundary: DataFrame, pairs: DataFrame
     )
 
 
+def alike(name, short, city, phrases: list[str] | None = None):
+    """Similar names, without case: one holds the other as words, or they are close by Jaro and Winkler's measure."""
+    a, b, c = (F.lower(x) for x in (name, short, city))
+    some = (F.length(a) > 0) & (F.length(c) > 0)
+    close = (jaro_winkler(a, c) > 0.89) | (jaro_winkler(F.coalesce(b, F.lit("")), c) > 0.89)
+    return some & (T.similar_name(a, b, c, phrases and [p.lower() for p in phrases]) | close)
+
+
 def center_city(boundary: DataFrame, city: DataFrame, inside: DataFrame, overrides: DataFrame | None = None, phrases: list[str] | None = None) -> DataFrame:
     """``boundary_id, city_id, stage``: the first stage that gives a city, the least id within it.
 
@@ -46,8 +55,8 @@ def center_city(boundary: DataFrame, city: DataFrame, inside: DataFrame, overrid
     by_admin = b.join(c, b.admin_center_id == c.city_id).select("boundary_id", "city_id", F.lit(2).alias("stage"))
     held = b.join(inside.select(F.col("poly_id").alias("boundary_id"), F.col("id").alias("city_id")), "boundary_id").join(c, "city_id")
     same = (F.col("b_name") == F.col("c_name")) | F.coalesce(F.col("b_short") == F.col("c_name"), F.lit(False))
-    alike = T.similar_name(F.col("b_name"), F.coalesce("b_short", F.lit("")), F.col("c_name"), phrases)
-    by_name = held.select("boundary_id", "city_id", F.when(same, 3).when(alike, 4).alias("stage")).where("stage IS NOT NULL")
+    similar = alike(F.col("b_name"), F.coalesce("b_short", F.lit("")), F.col("c_name"), phrases)
+    by_name = held.select("boundary_id", "city_id", F.when(same, 3).when(similar, 4).alias("stage")).where("stage IS NOT NULL")
     made = b.select("boundary_id", F.lit(None).cast("bigint").alias("city_id"), F.lit(5).alias("stage"))
     every = by_admin.union(by_name).union(made)
     if overrides is not None:

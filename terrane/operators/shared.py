@@ -8,22 +8,42 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Spark's setting that removes a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a new folder where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """``spark.checkpoint.dir``; where that is unset, a new folder on a single machine, and an error on a cluster."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not found and app not in _own:
         _own[app] = "file:" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return (found or _own[app]).rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back: a loop's plan stays short, and a lost executor costs its own tasks only."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet and read it back: a loop's plan stays short, and a lost executor costs its own tasks only.
+
+    What was shuffled for the write goes when it is done."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete what :func:`stage` wrote, once nothing will read it again."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -42,7 +62,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         spread = label.join(near, label.node == near.u).select("node", F.least("component", "c").alias("component"), F.col("component").alias("was"))
         up = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
         after = stage(spread.join(up, "component").select("node", F.least("component", "up").alias("component"), "was"), "labels")
-        changed = after.where("component <> was").isEmpty()
+        done = after.where("component <> was").isEmpty()
+        unstage(label)
         label = after.select("node", "component")
-        if changed:
+        if done:
+            unstage(both)
             return label

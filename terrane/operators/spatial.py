@@ -70,7 +70,7 @@ def lines_in_polygons(lines: DataFrame, polygons: DataFrame, deg: float = 0.05)
     levels = top(left).union(top(right)).distinct()  # a dozen rows at most
 
     def lift(df: DataFrame, key: str, rest: str) -> DataFrame:
-        up = df.join(F.broadcast(levels), F.col("_top") >= F.col("_level"))
+        up = df.withColumn("_top", F.explode(F.sequence(F.col("_level"), F.lit(LEVELS - 1)))).join(F.broadcast(levels), "_top", "left_semi")
         shift = (F.col("_top") - F.col("_level")).cast("int")
         by = F.pow(F.lit(2.0), shift)
         return up.select(key, rest, F.col("_level").alias(f"_own_{key}"), "_top", F.floor(F.col("_cx") / by).alias("_cx"), F.floor(F.col("_cy") / by).alias("_cy")).distinct()
@@ -117,7 +117,13 @@ def candidates(left: DataFrame, right: DataFrame, radii_m: list[float], min_n: i
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, max_m: float) -> DataFrame:
-    """``id, line_id, dist_m``: of the lines within ``max_m`` metres the nearest, of equal ones the one with the least id.
+    """``id, line_id, dist_m``: of the lines within ``max_m`` metres the nearest, of equal ones (to a micrometre) the one with the least id."""
+    best = near_segments(points, segments, max_m).groupBy("id").agg(F.min(F.struct(F.round("dist_m", 6).alias("dist_m"), "line_id")).alias("m"))
+    return best.select("id", F.col("m.line_id").alias("line_id"), F.col("m.dist_m").alias("dist_m"))
+
+
+def near_segments(points: DataFrame, segments: DataFrame, max_m: float) -> DataFrame:
+    """``id, line_id, dist_m`` of all segments within ``max_m`` metres of a point, and at times some of them twice.
 
     ``segments`` has ``line_id, ax, ay, bx, by``. Segments are entered in the cells that they come within ``max_m`` of,
     points in their own, so a pair meets once a cell; the least of each point is a sum over rows.
@@ -136,9 +142,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, max_m: float) -> Dat
     right = cover(segments.select("line_id", "ax", "ay", "bx", "by"), box, deg)
     left = point_cells(points.select("id", "lon", "lat"), F.col("lon"), F.col("lat"), deg).join(F.broadcast(right.select("_level").distinct()), "_level", "left_semi")
     dist = G.segment_distance_m(*(F.col(c) for c in ("lon", "lat", "ax", "ay", "bx", "by")))
-    near = left.join(right, CELL).withColumn("dist_m", dist).where(F.col("dist_m") <= max_m)
-    best = near.groupBy("id").agg(F.min(F.struct("dist_m", "line_id")).alias("m"))
-    return best.select("id", F.col("m.line_id").alias("line_id"), F.col("m.dist_m").alias("dist_m"))
+    return left.join(right, CELL).withColumn("dist_m", dist).where(F.col("dist_m") <= max_m).select("id", "line_id", "dist_m")
 
 
 def line_segments(way_points: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from terrane.operators import places as P
 from terrane.operators import spatial as S
 from terrane.operators import streets as ST
 from terrane.operators import tiles as TI
-from terrane.plans.queries import _INSIDE, _POINTS, _TILES, _hav, _inside, _node_tiles, boundary, query, way_points
+from terrane.plans.queries import _INSIDE, _NEAR, _POINTS, _TILES, _hav, _inside, _node_tiles, boundary, query, way_points
 
 
 @query("house", sql="""
@@ -33,7 +33,7 @@ def second_street_houses(spark, d):
 WITH {_POINTS}, s AS (SELECT way_id, seq, lon, lat, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS x2, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS y2 FROM wp),
 g AS (SELECT *, sqrt((x2 - lon) * (x2 - lon) + (y2 - lat) * (y2 - lat)) AS len FROM s WHERE x2 IS NOT NULL),
 c AS (SELECT *, sum(len) OVER (PARTITION BY way_id ORDER BY seq) AS t FROM g), tot AS (SELECT way_id, max(t) AS total FROM c GROUP BY way_id)
-SELECT way_id, count(*) * 0 + 5 AS n FROM tot WHERE total > 0 GROUP BY way_id""")
+SELECT t.way_id, CASE WHEN m.len_m / 8 <= 4 THEN 1 ELSE (9 - 1) // 2 + 1 END AS n FROM tot t JOIN (SELECT way_id, sum({_hav('lon', 'lat', 'x2', 'y2')}) AS len_m FROM g GROUP BY way_id) m ON t.way_id = m.way_id WHERE total > 0""")
 def interpolated_counts(spark, d):
     points = way_points(spark, d).select(F.col("way_id").cast("string").alias("stretch_id"), "seq", "lon", "lat")
     length = points.groupBy("stretch_id").agg(F.countDistinct("lon", "lat").alias("k")).where("k > 1")
@@ -42,11 +42,19 @@ def interpolated_counts(spark, d):
     return out.groupBy(F.col("stretch_id").cast("bigint").alias("way_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("osm_node", "way_node")
+@query("osm_node", "way_node", sql=f"""
+WITH {_POINTS}, s AS (SELECT way_id, seq, lon, lat, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS x2, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS y2 FROM wp WHERE seq <= 3),
+g AS (SELECT *, sqrt((x2 - lon) * (x2 - lon) + (y2 - lat) * (y2 - lat)) AS len, {_hav('lon', 'lat', 'x2', 'y2')} AS len_m FROM s WHERE x2 IS NOT NULL),
+w AS (SELECT way_id, sum(len) AS total, sum(len_m) AS total_m, max(CASE WHEN seq = 1 THEN len END) AS len1, count(*) AS n FROM g GROUP BY way_id HAVING count(*) = 2),
+k AS (SELECT *, 2 + way_id % 50 AS first, 6 + way_id % 50 AS last, CASE WHEN way_id % 2 = 0 THEN 2 ELSE 1 END AS step FROM w),
+h AS (SELECT way_id, CAST(first AS VARCHAR) || ' - ' || CAST(last AS VARCHAR) AS number, total / 2 AS at, total, len1 FROM k WHERE total_m / 4 <= 4
+ UNION ALL SELECT way_id, CAST(first + i * step AS VARCHAR), least(total, total * i * step / 4), total, len1 FROM (SELECT *, unnest(range(0, 4 // step + 1)) AS i FROM k WHERE total_m / 4 > 4)),
+p AS (SELECT h.way_id, h.number, g.lon, g.lat, g.x2, g.y2, CASE WHEN g.len > 0 THEN (h.at - CASE WHEN g.seq = 1 THEN 0 ELSE len1 END) / g.len ELSE 0 END AS t FROM h JOIN g ON h.way_id = g.way_id AND g.seq = CASE WHEN h.at <= len1 THEN 1 ELSE 2 END)
+SELECT way_id, number, round(lon + t * (x2 - lon), 7) AS lon, round(lat + t * (y2 - lat), 7) AS lat FROM p""")
 def interpolated_houses(spark, d):
     points = way_points(spark, d).withColumn("number", F.when((F.col("seq") == 1) | (F.col("seq") == 3), (2 * F.col("seq") + F.col("way_id") % 50).cast("string")))
     kind = points.select("way_id").distinct().withColumn("kind", F.when(F.col("way_id") % 2 == 0, "even").otherwise("all"))
-    return H.interpolate_houses(points, kind)
+    return H.interpolate_houses(points, kind).select("way_id", "number", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
 
 
 @query("boundary_ring", sql="""
@@ -144,15 +152,30 @@ def exact_tiles_from_south(spark, d):
     return TI.extract_tiles(south, tiles.where("x % 3 = 0"), exact=True, from_south=True).select("z", "x", "y")
 
 
-@query("way_info", "house")
+@query("way_info", "house", sql="""
+WITH w AS (SELECT id % 25 AS postcode, name AS b, min(id) AS cand_id FROM way_info GROUP BY 1, 2),
+x AS (SELECT h.id, w.cand_id, jaro_winkler_similarity(h.street || ' St', w.b) AS score FROM house h JOIN w ON h.postcode = w.postcode WHERE h.street <> '')
+SELECT id, cand_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, cand_id) AS k FROM x WHERE score > 0.9) WHERE k = 1""")
 def fuzzy_street_names(spark, d):
     h = lens(spark, d, "house").where("street <> ''").select("id", "postcode", F.concat(F.col("street"), F.lit(" St")).alias("a"))
     w = lens(spark, d, "way_info").select(F.col("id").alias("cand_id"), (F.col("id") % 25).alias("postcode"), F.col("name").alias("b"))
     names = w.groupBy("postcode", "b").agg(F.min("cand_id").alias("cand_id"))
-    return ST.fuzzy_match(h.join(names, "postcode"), 0.9)
+    return ST.fuzzy_match(h.join(names, "postcode"), 0.9).withColumn("score", F.round("score", 9))
+
+
+_SIDE = "sign(({b}x - {a}x) * ({c}y - {a}y) - ({b}y - {a}y) * ({c}x - {a}x))"
+
+
+def _side(a: str, b: str, c: str) -> str:
+    return _SIDE.format(a=a, b=b, c=c)
 
 
-@query("osm_node", "way_node", "boundary_ring")
+@query("osm_node", "way_node", "boundary_ring", sql=f"""
+WITH {_POINTS}, s AS (SELECT * FROM (SELECT way_id, lon AS px, lat AS py, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS qx, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS qy FROM wp) WHERE qx IS NOT NULL),
+r AS (SELECT * FROM boundary_ring WHERE admin_level = 6), b AS (SELECT id, min(lon) AS x0, max(lon) AS x1, min(lat) AS y0, max(lat) AS y1 FROM r GROUP BY id),
+e AS (SELECT * FROM (SELECT id, lon AS ex, lat AS ey, lead(lon) OVER (PARTITION BY id ORDER BY seq) AS fx, lead(lat) OVER (PARTITION BY id ORDER BY seq) AS fy FROM r) WHERE fx IS NOT NULL)
+SELECT w.way_id AS id, b.id AS poly_id FROM wp w JOIN b ON w.lon >= x0 AND w.lon < x1 AND w.lat >= y0 AND w.lat < y1 WHERE w.way_id IN (SELECT way_id FROM s)
+UNION SELECT s.way_id, e.id FROM s JOIN e ON {_side('p', 'q', 'e')} <> {_side('p', 'q', 'f')} AND {_side('e', 'f', 'p')} <> {_side('e', 'f', 'q')}""")
 def lines_in_boundaries(spark, d):
     lines = E.resolve_ways(lens(spark, d, "way_node"), lens(spark, d, "osm_node"))
     return S.lines_in_polygons(lines, boundary(spark, d).where("admin_level = 6"))
@@ -174,7 +197,7 @@ def residential_cells(spark, d):
     return A.residential_areas(boundary(spark, d).where("admin_level = 6"), lens(spark, d, "osm_node"))[0]
 
 
-@query("house", "osm_node", "way_node")
+@query("house", "osm_node", "way_node", sql=f"WITH {_NEAR} SELECT DISTINCT line_id FROM nn WHERE k = 1 AND dist <= 100")
 def streets_near_houses(spark, d):
     return ST.streets_near_houses(lens(spark, d, "house"), S.line_segments(way_points(spark, d)), 100.0)
 

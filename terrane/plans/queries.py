@@ -329,13 +329,6 @@ def city_importance(spark, d):
     return P.relative_importance(pairs).select("id", "poly_id", F.round("importance", 6).alias("importance"))
 
 
-@query("house", "place")
-def nearest_cities(spark, d):
-    house, place = lens(spark, d, "house"), lens(spark, d, "place")
-    pairs = S.candidates(house, place, [5000.0, 10000.0, 20000.0, 40000.0], 5).select("id", F.col("cand_id").alias("city_id"))
-    return S.nearest_city(house, pairs, place).withColumn("dist_m", F.round("dist_m", 3))
-
-
 _SQUARE = "abs(p.lat - h.lat) <= degrees({m} / 6372800) AND abs(p.lon - h.lon) <= degrees({m} / 6372800) / cos(radians(h.lat))"
 _LEVELS = " UNION ALL ".join(f"SELECT h.id, p.id AS cand_id, {k} AS level FROM house h JOIN place p ON {_SQUARE.format(m=m)}" for k, m in enumerate((500.0, 1000.0, 2000.0, 4000.0)))
 
@@ -348,11 +341,28 @@ def city_candidates(spark, d):
     return S.candidates(lens(spark, d, "house"), lens(spark, d, "place"), [500.0, 1000.0, 2000.0, 4000.0], 5).select("id", "cand_id", "level")
 
 
-_SEG = f"{_POINTS}, sg AS (SELECT * FROM (SELECT way_id, lon AS ax, lat AS ay, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS bx, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS by_ FROM wp WHERE way_id % 25 = 0) WHERE bx IS NOT NULL)"
+_WIDE = " UNION ALL ".join(f"SELECT h.id, p.id AS cand_id, {k} AS level FROM house h JOIN place p ON {_SQUARE.format(m=m)}" for k, m in enumerate((5000.0, 10000.0, 20000.0, 40000.0)))
+
+
+@query("house", "place", sql=f"""
+WITH x AS ({_WIDE}), n AS (SELECT id, level, count(*) AS n FROM x GROUP BY id, level), c AS (SELECT id, coalesce(min(CASE WHEN n >= 5 THEN level END), 3) AS level FROM n GROUP BY id),
+y AS (SELECT x.id, x.cand_id AS city_id, {_hav('h.lon', 'h.lat', 'p.lon', 'p.lat')} AS dist FROM x JOIN c ON x.id = c.id AND x.level = c.level JOIN house h ON h.id = x.id JOIN place p ON p.id = x.cand_id)
+SELECT id, city_id, round(dist, 3) AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, city_id) AS k FROM y) WHERE k = 1""")
+def nearest_cities(spark, d):
+    house, place = lens(spark, d, "house"), lens(spark, d, "place")
+    pairs = S.candidates(house, place, [5000.0, 10000.0, 20000.0, 40000.0], 5).select("id", F.col("cand_id").alias("city_id"))
+    return S.nearest_city(house, pairs, place).withColumn("dist_m", F.round("dist_m", 3))
+
+
+_SEG = f"{_POINTS}, sg AS (SELECT * FROM (SELECT way_id, lon AS ax, lat AS ay, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS bx, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS by_ FROM wp) WHERE bx IS NOT NULL)"
 _T = "CASE WHEN (bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay) = 0 THEN 0 ELSE greatest(0, least(1, ((h.lon - ax) * (bx - ax) + (h.lat - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)))) END"
 
 
-@query("house", "osm_node", "way_node")
+_NEAR = f"""{_SEG}, c AS (SELECT h.id, s.way_id AS line_id, lon, lat, ax, ay, bx, by_, {_T} AS t FROM house h JOIN sg s ON h.lon >= least(ax, bx) - 0.004 AND h.lon <= greatest(ax, bx) + 0.004 AND h.lat >= least(ay, by_) - 0.003 AND h.lat <= greatest(ay, by_) + 0.003),
+m AS (SELECT id, line_id, {_hav('lon', 'lat', '(ax + t * (bx - ax))', '(ay + t * (by_ - ay))')} AS dist FROM c), nn AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(dist, 6), line_id) AS k FROM m)"""
+
+
+@query("house", "osm_node", "way_node", sql=f"WITH {_NEAR} SELECT id, line_id, round(dist, 3) AS dist_m FROM nn WHERE k = 1 AND dist <= 200")
 def nearest_street(spark, d):
     segments = S.line_segments(way_points(spark, d))
     out = S.nearest_segment(lens(spark, d, "house"), segments, 200.0)
@@ -531,12 +541,20 @@ def extracted_tiles(spark, d):
     return TI.extract_tiles(tiles, tiles.where("x % 2 = 0"))
 
 
-@query("boundary_ring")
+_TX, _TY = "CAST(floor(({x} + 180) / 360 * pow(2, z)) AS BIGINT)", "CAST(floor((1 - ln(tan(radians({y})) + 1 / cos(radians({y}))) / pi()) / 2 * pow(2, z)) AS BIGINT)"
+
+
+@query("boundary_ring", sql=f"""
+WITH b AS (SELECT id, min(lon) AS x0, max(lon) AS x1, min(lat) AS y0, max(lat) AS y1 FROM boundary_ring GROUP BY id), q AS (SELECT b.*, unnest(range(0, 15)) AS z FROM b),
+c AS (SELECT id, z, {_TX.format(x='x0')} AS a, {_TX.format(x='x1')} AS b, {_TY.format(y='y1')} AS c, {_TY.format(y='y0')} AS d FROM q), x AS (SELECT *, unnest(range(a, b + 1)) AS x FROM c)
+SELECT id, CAST(z AS INTEGER) AS z, CAST(x AS INTEGER) AS x, CAST(unnest(range(c, d + 1)) AS INTEGER) AS y FROM x""")
 def boundary_tile_cover(spark, d):
     return TI.tile_cover(boundary(spark, d), 14)
 
 
-@query("boundary_ring")
+@query("boundary_ring", sql="""
+WITH b AS (SELECT min(lon) AS a, min(lat) AS b, max(lon) AS c, max(lat) AS d FROM boundary_ring)
+SELECT 'bounds' AS name, printf('%.6f,%.6f,%.6f,%.6f', a, b, c, d) AS value FROM b UNION ALL SELECT 'center', printf('%.6f,%.6f', (a + c) / 2, (b + d) / 2) FROM b UNION ALL SELECT 'minzoom', '0' FROM b UNION ALL SELECT 'maxzoom', '10' FROM b""")
 def tile_set_metadata(spark, d):
     b = boundary(spark, d)
     return TI.tile_metadata(TI.tile_cover(b, 10), b)
@@ -623,7 +641,13 @@ def city_priorities(spark, d):
     return lens(spark, d, "place").select("id", T.city_priority(F.col("population"), F.col("id") % 40).alias("priority"))
 
 
-@query("osm_node", "way_node", "member", "boundary_ring")
+@query("osm_node", "way_node", "member", "boundary_ring", sql="""
+-- recursive
+WITH b AS (SELECT id AS region_id, min(lon) AS x0, max(lon) AS x1, min(lat) AS y0, max(lat) AS y1 FROM boundary_ring GROUP BY id),
+n AS (SELECT b.region_id, o.id FROM osm_node o JOIN b ON o.lon >= x0 AND o.lon < x1 AND o.lat >= y0 AND o.lat < y1), w AS (SELECT DISTINCT n.region_id, v.way_id AS id FROM n JOIN way_node v ON v.ref = n.id),
+nn AS (SELECT region_id, id FROM n UNION SELECT w.region_id, v.ref FROM w JOIN way_node v ON v.way_id = w.id), r AS (SELECT DISTINCT w.region_id, m.rel_id AS id FROM w JOIN member m ON m.type = 'way' AND m.ref = w.id),
+u AS (SELECT region_id, id FROM r UNION SELECT u.region_id, m.rel_id FROM u JOIN member m ON m.type = 'relation' AND m.ref = u.id)
+SELECT region_id, id, 'node' AS type FROM nn UNION ALL SELECT region_id, id, 'way' FROM w UNION ALL SELECT region_id, id, 'relation' FROM u""")
 def region_extract(spark, d):
     out = S.extract_regions(lens(spark, d, "osm_node"), lens(spark, d, "way_node"), lens(spark, d, "member"), boundary(spark, d), "complete_ways")
     return E.union_all(*(df.withColumn("type", F.lit(k)) for k, df in out.items()))
