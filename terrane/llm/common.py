@@ -66,6 +66,14 @@ def unstage(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as it takes to be none of the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; empty for null and for blank texts."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -7,8 +7,12 @@ suffix is looked up in it by binary search. A hit gives the places where its
 window occurs in the shard and how far each match goes on.
 
 The test set is small next to the corpus, but nothing here relies on that: it is
-measured first and looked up in blocks of at most ``block_bytes``, each sent to
-the tasks once. The corpus is read in one pass and not shuffled.
+measured first and looked up in blocks of at most ``block_bytes``. One block goes
+to the tasks in one pass over the corpus, without a shuffle. Of several blocks
+each has a pass of its own, whose hits are written before the next block is
+collected, so the driver and each worker hold one block at a time; the hits are
+merged by row. The work is the corpus's words, and for each Arrow batch the test
+windows times the logarithm of its places.
 
 A window is 13 consecutive words of an item; an item of fewer words, but not
 none, is one window. A document word inside any occurrence of a window is hit.
@@ -18,19 +22,24 @@ Defined results
     empty item           no window
     repeated rows        each row is searched; equal items are all listed
     null item id         listed as the empty string
+    ties                 items that occur in one place are all listed, in the order of their ids as strings
+    very long texts      a batch's memory is in proportion to its words
     empty tables         no rows, or nothing hit
-    extra columns        kept
+    extra columns        kept; the operator's own column must be a new name
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrane.llm.common import fresh, stage
+
 WINDOW = 13
 #: A-Z to a-z; ASCII characters other than letters and digits to a space; other bytes stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -184,28 +193,40 @@ def find_contamination(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = 16 << 20,
+    out_col: str = "_match",
 ) -> DataFrame:
-    """``docs`` with a column ``_match``: n_words, n_hit, starts, ends, items (ids as sorted strings), longest."""
+    """``docs`` with ``out_col``, which must be a new name: n_words, n_hit, starts, ends, items (ids as sorted strings), longest."""
+    if fresh(docs, out_col) != out_col:
+        raise ValueError(f"there is a column {out_col} already")
     tests = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     # The whole test set is searched; a block is bounded, and the number of blocks follows the set's size.
     total = tests.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("id")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    columns = []
-    out = docs
-    for b in range(blocks):
+
+    def matcher(b: int):
         part = tests if blocks == 1 else tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        out = out.withColumn(f"_match{b}", _matcher([(r["id"], r["text"]) for r in part.collect()], window)(F.col(text_col)))
-        columns.append(f"_match{b}")
-    joined = lambda field: F.concat(*(F.col(c)[field] for c in columns))
-    match = F.struct(
-        F.col(columns[0])["n_words"].alias("n_words"),
-        _covered(joined("starts"), joined("ends")).alias("n_hit"),
-        joined("starts").alias("starts"),
-        joined("ends").alias("ends"),
-        F.array_sort(F.array_distinct(joined("items"))).alias("items"),
-        F.greatest(*(F.col(c)["longest"] for c in columns), F.lit(0)).alias("longest"),
-    )
-    return out.withColumn("_match", match).drop(*columns)
+        return _matcher([(r["id"], r["text"]) for r in part.collect()], window)(F.col(text_col))
+
+    def whole(m: Column, items: Column) -> Column:
+        fields = {"n_words": m["n_words"], "n_hit": _covered(m["starts"], m["ends"]), "starts": m["starts"], "ends": m["ends"], "items": items, "longest": m["longest"]}
+        return F.struct(*(c.alias(k) for k, c in fields.items()))
+
+    if blocks == 1:
+        found = docs.withColumn(out_col, matcher(0))
+        return found.withColumn(out_col, whole(F.col(out_col), F.array_sort(F.array_distinct(F.col(out_col)["items"]))))
+    row = fresh(docs, "_row")
+    kept = stage(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-documents")
+    hits = []
+    for b in range(blocks):
+        one = kept.select(F.col(row).alias("_r"), matcher(b).alias("m"))
+        hits.append(stage(one.where(F.lit(b == 0) | (F.size("m.items") > 0)), "benchmark-hits"))  # the first has every row, for its words
+    # A row's hits of all blocks: as many as there are blocks.
+    every = reduce(DataFrame.unionByName, hits).groupBy("_r").agg(F.collect_list("m").alias("ms"))
+    joined = lambda field: F.flatten(F.transform("ms", lambda m: m[field]))
+    one = F.struct(F.col("ms")[0]["n_words"].alias("n_words"), joined("starts").alias("starts"), joined("ends").alias("ends"), F.array_max(F.transform("ms", lambda m: m["longest"])).alias("longest"))
+    merged = every.select("_r", one.alias("m"), F.array_sort(F.array_distinct(joined("items"))).alias("items")).select("_r", whole(F.col("m"), F.col("items")).alias("_m"))
+    both = kept.join(merged.select(F.col("_r").alias(row), F.col("_m").alias(out_col)), row, "left")
+    return both.select(*docs.columns, out_col)
 
 
 def contaminated(match: str = "_match") -> Column:
@@ -214,4 +235,5 @@ def contaminated(match: str = "_match") -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated. Columns are those of ``docs``."""
-    return find_contamination(docs, benchmark, **options).where(~contaminated()).select(*docs.columns)
+    mark = fresh(docs, "_match")
+    return find_contamination(docs, benchmark, out_col=mark, **options).where(~contaminated(mark)).select(*docs.columns)

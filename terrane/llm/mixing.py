@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import n_words, stage
+from terrane.llm.common import fresh, n_words, stage
 
 MAX_COPIES = 2
 
@@ -111,8 +111,9 @@ def mix_counts(
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed documents: each as often as it is taken. Columns are those of ``docs``."""
-    kept = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-documents")
-    counts = mix_counts(kept, id_col, text_col, source_col, row_col="_mix_row", **options)
-    chosen = counts.where("copies > 0").select(F.col("_row").alias("_mix_row"), F.col("copies").alias("_mix_copies"))
-    repeated = kept.join(chosen, "_mix_row").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+    row, copies, copy = (fresh(docs, c) for c in ("_mix_row", "_mix_copies", "_mix_copy"))
+    kept = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    counts = mix_counts(kept, id_col, text_col, source_col, row_col=row, **options)
+    chosen = counts.where("copies > 0").select(F.col("_row").alias(row), F.col("copies").alias(copies))
+    repeated = kept.join(chosen, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return repeated.select(*docs.columns)

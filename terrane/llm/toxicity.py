@@ -16,7 +16,9 @@ Defined results
     repeated labels      one of them is used in the fit
     no labels, or one class only   nothing can be learnt: severity 0, not toxic
     repeated rows        each is scored
-    extra columns        kept by ``score``
+    ties                 of features and rows in the fit are settled by name and hash
+    very long texts      a set of their words and prefixes
+    extra columns        kept by ``score``; its own column must be a new name
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import stage, unstage
+from terrane.llm.common import fresh, stage, unstage
 
 _WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -162,8 +164,11 @@ def fit(
     return OrdinalModel({f: float(w[i]) for f, i in index.items()}, [float(x) for x in theta])
 
 
-def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``_toxicity``: expected_severity, p_toxic, severity (the likeliest side of each threshold) and toxic."""
+def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", threshold: float = 0.5, out_col: str = "_toxicity") -> DataFrame:
+    """``docs`` with ``out_col``, which must be a new name: expected_severity, p_toxic, severity (the likeliest side of each threshold) and toxic."""
+
+    if fresh(docs, out_col) != out_col:
+        raise ValueError(f"there is a column {out_col} already")
 
     @F.pandas_udf("expected_severity double, p_toxic double, severity int, toxic boolean")
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -175,9 +180,10 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", threshol
                 rows.append((round(float(above.sum()), 6), round(first, 6), int((above >= 0.5).sum()), first >= threshold))
             yield pd.DataFrame(rows, columns=["expected_severity", "p_toxic", "severity", "toxic"])
 
-    return docs.withColumn("_toxicity", judge(F.col(text_col)))
+    return docs.withColumn(out_col, judge(F.col(text_col)))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not judged toxic. Columns are those of ``docs``."""
-    return score(docs, fit(docs, labels, **options)).where(~F.col("_toxicity.toxic")).select(*docs.columns)
+    mark = fresh(docs, "_toxicity")
+    return score(docs, fit(docs, labels, **options), out_col=mark).where(~F.col(mark)["toxic"]).select(*docs.columns)

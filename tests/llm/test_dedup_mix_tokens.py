@@ -189,6 +189,18 @@ def test_longest_match_and_removal(spark):
     assert [r.doc_id for r in decontaminate.decontaminate(docs, bench).orderBy("doc_id").collect()] == [1, 2]
 
 
+def test_own_columns_never_clash(spark):
+    df = some_docs(spark, ["a b", "one two"]).withColumn("_match", F.lit("own")).withColumn("_mix_row", F.lit("own")).withColumn("_mix_copies", F.lit("own")).withColumn("_row", F.lit("own"))
+    bench = spark.createDataFrame([(1, "seen words " * 20), (2, "more words " * 20)], "item_id long, text string")
+    for block_bytes in (1 << 20, 100):
+        got = decontaminate.decontaminate(df, bench, block_bytes=block_bytes)
+        assert got.columns == df.columns and {r._match for r in got.collect()} == {"own"}
+    with pytest.raises(ValueError):
+        decontaminate.find_contamination(df, bench)
+    got = mixing.mix(df)
+    assert got.columns == df.columns and {r._mix_row for r in got.collect()} <= {"own"}
+
+
 def test_suffix_array_is_sorted():
     ids = np.array([int(x) for x in "1213121121213120"] + [0] * 20)
     sa = decontaminate.suffix_array(ids, np.arange(15), 16)
