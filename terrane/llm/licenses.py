@@ -1,15 +1,18 @@
 """License scanning: winnowed fingerprints pick candidates, banded alignment measures them.
 
-Templates are short public notices, a fixed and small list. Their winnowed k-gram
+Templates are public notices, short and long, a fixed and small list. Their winnowed k-gram
 fingerprints form an inverted index (hash to template and place). A text's
 winnowed fingerprints that occur in the index vote for a template and a
 diagonal; each such place is aligned with the template in a band round the
 diagonal, and the share of template words that the alignment matches is the
-coverage. Every whole text is scanned in one pass without a shuffle.
+coverage. A place counts only if the words that tell licenses of a family apart
+(versions; lesser, share-alike and the like) are the same on both sides.
+Every whole text is scanned in one pass without a shuffle.
 
 Defined results
     null or empty text   no match, no row
     repeated rows        each gives its rows
+    ties                 of overlapping places the one with more matched words, then the larger share, then the first
     empty table          no rows
     very long texts      work grows with the text; alignment is done at candidate places only
     extra columns        ignored
@@ -43,17 +46,82 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
         "Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+        "Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "CC-BY-4.0": [
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "CC-BY-NC-4.0": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
+    "CC0-1.0": ["To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work."],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+        "You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.",
+    ],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "Use, modification and distribution are subject to the Boost Software License, Version 1.0."],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
         "copyright notice and this permission notice appear in all copies.",
     ],
+    "Zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+        "and redistribute it freely",
+    ],
 }
+#: Words that tell one license of a family from another, beside numbers.
+TELLING = frozenset("lesser library affero sharealike sa noncommercial nc noderivatives nd apache mit gnu mozilla eclipse boost".split())
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
@@ -62,6 +130,11 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def telling(tokens: list[str]) -> set[str]:
+    """The words that decide between licenses of a family: names of kinds, and versions, without a leading v."""
+    return {w.lstrip("v") if w[-1].isdigit() else w for w in tokens if w in TELLING or re.fullmatch(r"v?[0-9]+(\.[0-9]+)?", w)}
+
+
 def winnow(tokens: list[str], k: int, window: int) -> list[tuple[int, int]]:
     """``(hash, place)``: of every ``window`` k-grams in a row the least hash, the last of equal ones."""
     grams = [xxhash.xxh64_intdigest(" ".join(tokens[i : i + k])) for i in range(len(tokens) - k + 1)]
@@ -103,6 +176,7 @@ class Index:
     def __init__(self, templates: dict[str, list[str]], k: int, window: int):
         self.k, self.window = k, window
         self.templates = [(name, words(t)) for name, texts in templates.items() for t in texts]
+        self.telling = [telling(w) for _, w in self.templates]
         self.places: dict[int, list[tuple[int, int]]] = {}
         for t, (_, w) in enumerate(self.templates):
             for h, at in winnow(w, k, window):
@@ -138,7 +212,8 @@ def scan_text(text: str | None, index: Index, least: float, band: int) -> list[t
             tried.add((t, start))
             template = index.templates[t][1]
             n, begin, end = align(template, w, start, band)
-            if n >= least * len(template):
+            # Near ties are no ties: a version or kind that differs makes another license.
+            if n >= least * len(template) and index.telling[t] == telling(w[begin:end]):
                 key = (t, begin)
                 found[key] = max(found.get(key, (0, 0, 0)), (n, -end, end))
     # Where places overlap, the one with more matched words tells.

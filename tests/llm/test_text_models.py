@@ -56,8 +56,8 @@ def test_toxicity_edge_cases(spark):
     odd = spark.createDataFrame([(1, None), (2, ""), (None, "nastyone nastytwo")], "doc_id long, text string")
     got = {r.doc_id: r._toxicity for r in toxicity.score(odd, toxicity.OrdinalModel()).collect()}
     assert not any(x.toxic for x in got.values()) and len(got) == 3
-    kept = toxicity.drop_toxic(docs, labels)
-    assert kept.columns == docs.columns
+    kept = toxicity.drop_toxic(docs.withColumn("_toxicity", F.lit("own")), labels)
+    assert kept.columns == [*docs.columns, "_toxicity"] and {r._toxicity for r in kept.collect()} == {"own"}
     assert toxicity.score(docs.limit(0), toxicity.OrdinalModel()).collect() == []
 
 
@@ -266,6 +266,52 @@ def test_every_short_notice_is_found_anywhere():
                 assert any(f[0] == name and f[2] == len(before) + 1 and f[3] == len(before) + 1 + len(own) for f in found), (name, t, found)
 
 
+@pytest.mark.parametrize(
+    "text,name",
+    [
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+        ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "AGPL-3.0"),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ],
+)
+def test_telling_words_decide_between_licenses_of_a_family(text, name):
+    found = licenses.scan_text(f"zzz {text} zzz", licenses.Index(licenses.TEMPLATES, 3, 2), 0.8, 6)
+    assert [f[0] for f in found] == ([name] if name else [])
+
+
+def plain_coverage(template, text):
+    """The most template words that some stretch of the text matches in order."""
+    best = [0] * (len(text) + 1)
+    for w in template:
+        row = [0]
+        for j, v in enumerate(text):
+            row.append(max(best[j + 1], row[-1], best[j] + (v == w)))
+        best = row
+    return best[-1] / len(template)
+
+
+def test_licenses_of_given_texts_match_an_alignment_without_index(spark):
+    import duckdb
+
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+    got = defaultdict(set)
+    for x in queries.op5_license_scan(spark, SF).collect():
+        got[x.doc_id].add(x.license)
+    short = [(n, licenses.words(t)) for n, ts in licenses.TEMPLATES.items() for t in ts if len(licenses.words(t)) < 16]
+    for key, text in texts.items():
+        want = set()
+        for line in (text or "").split("\n"):
+            w = licenses.words(line)
+            if {"license", "licensed", "cc"} & set(w):
+                want |= {n for n, t in short for i in range(len(w)) if plain_coverage(t, w[i : i + len(t)]) >= 0.8 and licenses.telling(t) == licenses.telling(w[i : i + len(t)])}
+        assert want <= got[key], key
+
+
 # Passages
 
 
