@@ -209,12 +209,6 @@ def member_way_ids(spark, d):
     return E.distinct_ids(lens(spark, d, "member").where("type = 'way'").withColumnRenamed("ref", "id"))
 
 
-@query("way_node", "osm_node", sql="SELECT w.way_id, w.seq, n.id, n.lon, n.lat FROM way_node w JOIN osm_node n ON n.id = w.ref")
-def nodes_of_all_ways(spark, d):
-    ids = lens(spark, d, "way_node").select("way_id", F.col("seq").alias("pos"), F.col("ref").alias("id"))
-    return E.nodes_by_ids(lens(spark, d, "osm_node"), ids).select("way_id", F.col("pos").alias("seq"), "id", "lon", "lat")
-
-
 # Cities
 
 
@@ -304,3 +298,25 @@ def country_outlines(spark, d):
     box = G.geom_bbox(F.col("geom"))
     grown = (box["max_lon"] - box["min_lon"] > 0.02) & (box["max_lat"] - box["min_lat"] > 0.016)
     return found.select("country", F.lit("found").alias("state"), F.size("geom").alias("n_parts"), grown.alias("grown")).union(missing.select("country", F.lit("missing"), F.lit(0), F.lit(False)))
+
+
+def _town(spark: SparkSession, d: str) -> E.Entities:
+    """The lens with its places and houses as tagged nodes and its boundaries as relations: what an address build reads."""
+    e, b = entities(spark, d), _boundary_entities(spark, d)
+    kinds = F.array(*(F.lit(k) for k in ("city", "town", "village", "hamlet", "suburb", "district")))
+    place = lens(spark, d, "place").withColumn("kind", F.get(kinds, F.col("type_code").cast("int") - 1)).withColumn("people", F.least(F.col("population"), F.lit(999_999)).cast("string"))
+    places = place.select((3_000_000_000 + F.col("id")).alias("id"), "lon", "lat", _tags(place="kind", name="name", population="people").alias("tags"))
+    house = lens(spark, d, "house").withColumn("code", F.col("postcode").cast("string"))
+    address = F.map_concat(*(F.when(F.col(c) != "", F.create_map(F.lit(k), F.col(c))).otherwise(F.create_map().cast("map<string,string>")) for k, c in (("addr:housenumber", "number"), ("addr:street", "street"), ("addr:postcode", "code"))))
+    houses = house.select((4_000_000_000 + F.col("id")).alias("id"), "lon", "lat", address.alias("tags"))
+    level = lens(spark, d, "boundary_ring").select("id", F.col("admin_level").cast("string").alias("level")).distinct()
+    with_level = b.relation.join(level, "id").select("id", "members", F.map_concat(F.map_filter("tags", lambda k, _: k != "admin_level"), F.create_map(F.lit("admin_level"), F.col("level"))).alias("tags"))
+    return E.Entities(E.union_all(e.node, places, houses, b.node), E.union_all(e.way, b.way), with_level)
+
+
+@query("place", "house", "way_info", "osm_node", "way_node", "boundary_ring")
+def address_houses(spark, d):
+    """Houses with their street, or the reason why they have none, of the whole address build."""
+    out = jobs.build_address(_town(spark, d))
+    kept = out["house"].select("id", "number", "street_id", F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(out["house_removed"].select("id", F.lit(None).cast("string").alias("number"), F.lit(None).cast("bigint").alias("street_id"), "reason"))

@@ -151,9 +151,9 @@ def nodes_of_filtered_ways(spark, d):
     return lens(spark, d, "osm_node").join(refs, "id", "left_semi")
 
 
-@query("osm_node", "way_node", sql="SELECT w.way_id, w.seq, n.id, n.lon, n.lat FROM way_node w JOIN osm_node n ON n.id = w.ref WHERE w.way_id < 50")
+@query("osm_node", "way_node", sql="SELECT w.way_id, w.seq, n.id, n.lon, n.lat FROM way_node w JOIN osm_node n ON n.id = w.ref")
 def nodes_by_id_list(spark, d):
-    ids = lens(spark, d, "way_node").where("way_id < 50").select("way_id", F.col("seq").alias("pos"), F.col("ref").alias("id"))
+    ids = lens(spark, d, "way_node").select("way_id", F.col("seq").alias("pos"), F.col("ref").alias("id"))
     return E.nodes_by_ids(lens(spark, d, "osm_node"), ids).select("way_id", F.col("pos").alias("seq"), "id", "lon", "lat")
 
 
