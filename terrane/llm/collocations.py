@@ -1,13 +1,19 @@
 """Phrases whose words come together more often than their parts would.
 
-Counting. Each task walks its texts once with a trie of word ids: a first level by
-language and first word, below it hash containers of the words that follow. A
-container over ``burst`` entries bursts: it becomes a node with a container for
-each second word. When the trie has over ``entries`` counts, its largest subtrees
-are spilled whole, each as a run sorted by words, until half is left. Runs are
-dealt by their prefix (language, first two words, and a slice of the third, so
-that a frequent pair of words is not one task's) and merged there by addition. The
-counts are exact: nothing is dropped before they are whole.
+Counting. Each task walks its texts once with a trie of word ids. Below the root
+are hash containers for groups of 256 first words; a container over ``burst``
+entries bursts into one for each first word, and such a one into one for each
+second word. When the tries of a task hold over ``entries`` counts, whole subtrees
+are spilled, those first that were met least for the counts they hold, each run
+sorted by words, until half is left. Runs are dealt by prefix: language and first
+word, and a slice of the rest, so that a frequent word is not one task's. They are
+merged there by addition. The counts are exact.
+
+Words and pairs are counted first. A phrase of three words that is frequent has
+two frequent pairs, so the second walk counts only such phrases. It knows the
+frequent pairs by a Bloom filter of fixed size, ``filter_bits``, which takes some
+others for frequent but never misses one: counts stay exact, and a full filter
+only costs time.
 
 Word ids are a task's own and end with it; runs carry the words.
 
@@ -30,10 +36,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,6 +52,8 @@ from terrane.llm.common import stage
 BITS = 21
 SLICE = 1 << 20
 RUN_ROWS = 100_000
+#: Of Spark's xxhash64, and how far a pair's second hash is turned.
+SEED, TURN = 42, 23
 #: Ends a piece. It is one of the fixed delimiters ``.,;:!?`` and LF to CR, so no word holds it.
 STOP = b"."
 _BYTES = bytes(STOP[0] if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else 32 if b == 9 else b for b in range(256))
@@ -56,89 +66,95 @@ class WordIds(dict):
     def __init__(self):
         super().__init__({STOP: 0})
         self.held = 0
+        self.hashes = np.zeros(0, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         self.held += len(word)
         new = self[word] = len(self)
         return new
 
+    def hashed(self) -> np.ndarray:
+        """XXH64 of each word by its id."""
+        if len(self.hashes) < len(self):
+            new = [xxhash.xxh64_intdigest(w, SEED) for w in islice(self, len(self.hashes), None)]
+            self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
+        return self.hashes
+
 
 class PhraseTrie:
     """Counts of phrases of up to three word ids in one language; a phrase is ``id << 42 | id << 21 | id``, zero where it has no word."""
 
+    #: What is left of a phrase at each level: the group of its first word, its first word, its first two.
+    LEVELS = (2 * BITS + 8, 2 * BITS, BITS)
+
     def __init__(self, burst: int):
         self.burst = burst
-        self.roots: dict[int, Counter | dict[int, Counter]] = {}
+        self.root: dict[int, Counter | dict] = {}
         self.sizes: Counter = Counter()
+        self.met: Counter = Counter()
 
     def add(self, phrases: np.ndarray) -> None:
         """Count phrases given in ascending order."""
-        below = phrases & (1 << 2 * BITS) - 1
-        rest = below.tolist()
-        for first, i, j in _runs(phrases >> 2 * BITS):
-            child = self.roots.get(first)
-            if child is None:
-                child = self.roots[first] = Counter()
-            if isinstance(child, Counter):
-                child.update(rest[i:j])
-                self.sizes[first] = len(child)
-                if len(child) > self.burst:
-                    self.roots[first] = _burst(child)
-            else:
-                self.sizes[first] += _add_below(child, below[i:j])
+        each = phrases.tolist()
+        for group, i, j in _runs(phrases >> self.LEVELS[0]):
+            self.sizes[group] += self._add(self.root, group, 0, phrases[i:j], each[i:j])
+            self.met[group] += j - i
+
+    def _add(self, node: dict, key: int, level: int, phrases: np.ndarray, each: list[int]) -> int:
+        """Count below ``node[key]``; how many counts are new."""
+        child = node.get(key)
+        if child is None:
+            child = node[key] = Counter()
+        if isinstance(child, Counter):
+            was = len(child)
+            child.update(each)
+            if len(child) > self.burst and level + 1 < len(self.LEVELS):
+                node[key] = self._burst(child, self.LEVELS[level + 1])
+            return len(child) - was
+        return sum(self._add(child, k, level + 1, phrases[i:j], each[i:j]) for k, i, j in _runs(phrases >> self.LEVELS[level + 1]))
+
+    @staticmethod
+    def _burst(container: Counter, shift: int) -> dict[int, Counter]:
+        """A node in a container's place, with a container for each of its words."""
+        out: dict[int, Counter] = {}
+        for phrase, n in container.items():
+            out.setdefault(phrase >> shift, Counter())[phrase] = n
+        return out
 
     def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Phrases and counts of the largest subtrees, whole, until at most ``keep`` counts are left."""
+        """Phrases and counts of whole subtrees until at most ``keep`` counts are left."""
         left = self.sizes.total()
-        keys, counts, held = [], [], 0
-        for first, size in self.sizes.most_common():
+        phrases, counts, held = [], [], 0
+        for group in sorted(self.sizes, key=lambda g: self.met[g] / self.sizes[g]):
             if left <= keep:
                 break
-            child = self.roots.pop(first)
-            del self.sizes[first]
-            left -= size
-            parts = [(0, child)] if isinstance(child, Counter) else child.items()
-            for second, container in parts:
-                below = np.fromiter(container, np.int64, len(container))
-                keys.append((first << 2 * BITS) + (second << BITS) + below)
+            left -= self.sizes.pop(group)
+            del self.met[group]
+            for container in _containers(self.root.pop(group)):
+                phrases.append(np.fromiter(container, np.int64, len(container)))
                 counts.append(np.fromiter(container.values(), np.int64, len(container)))
                 held += len(container)
             if held >= RUN_ROWS:
-                yield np.concatenate(keys), np.concatenate(counts)
-                keys, counts, held = [], [], 0
+                yield np.concatenate(phrases), np.concatenate(counts)
+                phrases, counts, held = [], [], 0
         if held:
-            yield np.concatenate(keys), np.concatenate(counts)
+            yield np.concatenate(phrases), np.concatenate(counts)
+
+
+def _containers(node: Counter | dict) -> Iterator[Counter]:
+    if isinstance(node, Counter):
+        yield node
+    else:
+        for child in node.values():
+            yield from _containers(child)
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Each run of equal values: the value and where the run begins and ends."""
     if len(values):
-        edges = np.flatnonzero(np.diff(values)) + 1
-        begins = np.concatenate([[0], edges])
-        yield from zip(values[begins].tolist(), begins.tolist(), [*edges.tolist(), len(values)], strict=True)
-
-
-def _burst(container: Counter) -> dict[int, Counter]:
-    """A node in a container's place: one container for each second word, keyed by the third."""
-    out: dict[int, Counter] = {}
-    mask = (1 << BITS) - 1
-    for key, n in container.items():
-        out.setdefault(key >> BITS, Counter())[key & mask] = n
-    return out
-
-
-def _add_below(node: dict[int, Counter], below: np.ndarray) -> int:
-    """Count what follows a first word, in ascending order; how many counts are new."""
-    thirds = (below & (1 << BITS) - 1).tolist()
-    new = 0
-    for second, i, j in _runs(below >> BITS):
-        container = node.get(second)
-        if container is None:
-            container = node[second] = Counter()
-        was = len(container)
-        container.update(thirds[i:j])
-        new += len(container) - was
-    return new
+        begins = np.concatenate([[0], np.flatnonzero(np.diff(values)) + 1])
+        ends = begins.tolist()
+        yield from zip(values[begins].tolist(), ends, [*ends[1:], len(values)], strict=True)
 
 
 def _slices(data: bytes) -> Iterator[bytes]:
@@ -150,14 +166,15 @@ def _slices(data: bytes) -> Iterator[bytes]:
         at = cut
 
 
-def _phrases(ids: np.ndarray, seen: int, longest: int) -> np.ndarray:
-    """The phrases that end after the first ``seen`` ids, in ascending order."""
-    a = ids[seen:]
-    found = [a[a > 0] << 2 * BITS]
-    for words in range(2, longest + 1):
+def _phrases(ids: np.ndarray, seen: int, lengths: tuple[int, ...], usual: np.ndarray | None = None) -> np.ndarray:
+    """The phrases of these lengths that end after the first ``seen`` ids, in ascending order; of ``usual`` neighbours only."""
+    found = []
+    for words in lengths:
         ends = np.arange(max(seen, words - 1), len(ids))
         parts = [ids[ends - k] for k in range(words - 1, -1, -1)]
         inside = np.logical_and.reduce([p > 0 for p in parts])
+        if usual is not None:
+            inside &= np.logical_and.reduce([usual[ends - k] for k in range(words - 2, -1, -1)])
         found.append(sum(p[inside] << BITS * (2 - k) for k, p in enumerate(parts)))
     out = np.concatenate(found)
     out.sort()
@@ -181,14 +198,23 @@ def _run(lang: str, words: list[bytes], phrases: np.ndarray, counts: np.ndarray)
         yield pa.record_batch([pa.array([lang] * len(some), pa.string()), phrase, pa.array(counts[some])], schema=_RUN)
 
 
-def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3, burst: int = 4096, entries: int = 1_000_000) -> DataFrame:
-    """``lang, phrase, n``: how often each phrase of 1 to ``longest`` (at most 3) words is found within pieces.
+def count_phrases(
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    lengths: tuple[int, ...] = (1, 2, 3),
+    burst: int = 1 << 14,
+    entries: int = 1_000_000,
+    pairs: PairFilter | None = None,
+) -> DataFrame:
+    """``lang, phrase, n``: how often each phrase of these numbers of words (at most 3) is found within pieces.
 
-    The empty phrase has the number of words.
+    The empty phrase has the number of words. With ``pairs``, phrases with a pair that the filter does not have are left out.
     """
-    if not 1 <= longest <= 3:
-        raise ValueError("longest must be 1 to 3: that many ids fill a machine word")
+    if not lengths or not set(lengths) <= {1, 2, 3}:
+        raise ValueError("lengths must be of 1 to 3: that many ids fill a machine word")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
+    overlap = max(lengths) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, tries, totals = WordIds(), {}, Counter()
@@ -210,9 +236,10 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                 for part in _slices(data):
                     own = np.array(list(map(ids.__getitem__, part.split())), np.int64)
                     joined = np.concatenate([before, own])
-                    trie.add(_phrases(joined, len(before), longest))
+                    usual = None if pairs is None else pairs.neighbours(lang, ids.hashed()[joined])
+                    trie.add(_phrases(joined, len(before), lengths, usual))
                     totals[lang] += int(np.count_nonzero(own))
-                    before = joined[max(0, len(joined) - longest + 1) :]
+                    before = joined[max(0, len(joined) - overlap) :] if overlap else joined[:0]
                     if sum(t.sizes.total() for t in tries.values()) > entries:
                         yield from spilled(entries // 2 // len(tries))
                     if len(ids) > 1 << BITS - 1 or ids.held > 64 << 20:  # a slice brings 2^19 new words at most
@@ -224,9 +251,36 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             yield pa.record_batch([pa.array(list(totals)), pa.array([""] * len(totals)), pa.array(list(totals.values()), pa.int64())], schema=_RUN)
 
     runs = rows.mapInArrow(run, "lang string, phrase string, n long")
-    pair = F.substring_index("phrase", " ", 2)
-    dealt = runs.withColumns({"_pair": pair, "_slice": F.pmod(F.xxhash64("phrase"), F.lit(64))}).repartition("lang", "_pair", "_slice")
-    return dealt.groupBy("lang", "_pair", "_slice", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+    prefix = [F.col("lang"), F.substring_index("phrase", " ", 1).alias("_first"), F.pmod(F.xxhash64("phrase"), F.lit(64)).alias("_slice")]
+    return runs.repartition(*prefix).groupBy(*prefix, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+
+
+class PairFilter:
+    """A Bloom filter of pairs of words by language, made in the tasks as words of 64 bits and gathered as those: its size does not follow the input."""
+
+    def __init__(self, pairs: DataFrame, bits: int):
+        if not 6 <= bits <= 32:
+            raise ValueError("a filter has 2^6 to 2^32 bits")
+        self.mask = (1 << bits) - 1
+        word = F.split("phrase", " ")
+        turned = F.xxhash64(word[1])
+        turned = F.shiftleft(turned, TURN).bitwiseOR(F.shiftrightunsigned(turned, 64 - TURN))
+        h = F.xxhash64("lang").bitwiseXOR(F.xxhash64(word[0])).bitwiseXOR(turned)
+        places = F.explode(F.array(h.bitwiseAND(F.lit(self.mask)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(self.mask))))
+        held = pairs.select(places.alias("_p")).groupBy(F.shiftright("_p", 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_p").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+        table = held.toArrow()
+        array = np.zeros((self.mask + 1) // 64, np.int64)
+        array[table["at"].to_numpy()] = table["bits"].to_numpy()
+        self.held = pairs.sparkSession.sparkContext.broadcast(array.view(np.uint64))
+
+    def neighbours(self, lang: str, words: np.ndarray) -> np.ndarray:
+        """Whether the filter has the pair of each word and the one before it; given the words' hashes."""
+        turned = words << np.uint64(TURN) | words >> np.uint64(64 - TURN)
+        h = np.uint64(xxhash.xxh64_intdigest(lang.encode(), SEED)) ^ words[:-1] ^ turned[1:]
+        out = np.ones(len(words), bool)
+        for place in (h & np.uint64(self.mask), h >> np.uint64(32) & np.uint64(self.mask)):
+            out[1:] &= (self.held.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
 
 
 def score(a: F.Column, left: F.Column, right: F.Column) -> F.Column:
@@ -237,14 +291,29 @@ def score(a: F.Column, left: F.Column, right: F.Column) -> F.Column:
 
 
 def collocations(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3, least: int = 10, covered: int = 50, top: int = 2000, burst: int = 4096, entries: int = 1_000_000
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    longest: int = 3,
+    least: int = 10,
+    covered: int = 50,
+    top: int = 2000,
+    burst: int = 1 << 14,
+    entries: int = 1_000_000,
+    filter_bits: int = 26,
 ) -> DataFrame:
-    """``lang, rank, phrase, a, l, r, n, score``: the first ``top`` phrases of 2 to ``longest`` words of each language.
+    """``lang, rank, phrase, a, l, r, n, score``: the first ``top`` phrases of 2 to ``longest`` (2 or 3) words of each language.
 
     Phrases are found ``least`` times or more. One that lies in a longer one which is found ``covered`` percent as often or more is left out.
     """
-    counts = count_phrases(docs, text_col, lang_col, longest, burst, entries)
+    if longest not in (2, 3):
+        raise ValueError("longest must be 2 or 3")
+    counts = count_phrases(docs, text_col, lang_col, (1, 2), burst, entries)
     frequent = stage(counts.where((F.col("n") >= least) | (F.col("phrase") == "")), "frequent-phrases")
+    if longest == 3:
+        pairs = PairFilter(frequent.where(F.col("phrase").contains(" ")), filter_bits)
+        more = count_phrases(docs, text_col, lang_col, (3,), burst, entries, pairs).where((F.col("n") >= least) & (F.col("phrase") != ""))
+        frequent = frequent.union(stage(more, "frequent-triples"))
     spaces = F.length(F.translate("phrase", " ", "")) * -1 + F.length("phrase")
     candidates = frequent.where(F.col("phrase") != "").select("lang", "phrase", F.col("n").alias("a"), spaces.alias("m")).where("m > 0")
     word = F.split("phrase", " ")

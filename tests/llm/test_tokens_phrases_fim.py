@@ -121,7 +121,7 @@ def phrase_rows(rnd, n=150):
     return rows + [(None, None, "en"), (1, "", "en"), (1, " \t", None), (5, ".,;", "de")]
 
 
-@pytest.mark.parametrize(("burst", "entries", "size"), [(4096, 1_000_000, 1 << 20), (2, 10, 40), (1, 1, 1)])
+@pytest.mark.parametrize(("burst", "entries", "size"), [(1 << 14, 1_000_000, 1 << 20), (2, 10, 40), (1, 1, 1)])
 def test_collocations_against_a_plain_version(spark, monkeypatch, burst, entries, size):
     monkeypatch.setattr(collocations, "SLICE", size)
     rows = phrase_rows(random.Random(3))
@@ -139,28 +139,54 @@ def test_collocations_of_one_very_long_text_and_many_copies(spark):
     assert sorted(map(tuple, collocations.collocations(docs).collect())) == plain_collocations(rows)
 
 
-def test_ids_of_a_task_start_anew_when_there_are_many(monkeypatch):
+def test_slices_are_cut_at_spaces(monkeypatch):
     data = b"a b c d e f g"
     monkeypatch.setattr(collocations, "SLICE", 4)
     assert b"".join(collocations._slices(data)) == data
 
 
-def test_trie_spills_whole_subtrees_largest_first():
+def test_trie_bursts_and_spills_whole_subtrees():
     trie = collocations.PhraseTrie(burst=2)
-    ids = np.array([1, 2, 3, 1, 2, 4, 1, 3, 0, 5], np.int64)
-    for _ in range(3):
-        trie.add(collocations._phrases(ids, 0, 3))
-    assert isinstance(trie.roots[1], dict) and not isinstance(trie.roots[1], Counter)
-    keys, counts = next(trie.spill(trie.sizes.total() - 1))
-    assert set((keys >> 42).tolist()) == {1} and 1 not in trie.roots
-    plain = Counter()
-    for m in (1, 2, 3):
-        for i in range(len(ids) - m + 1):
-            p = ids[i : i + m].tolist()
-            if 0 not in p and p[0] == 1:
-                plain[tuple(p)] += 3
+    rnd = np.random.default_rng(4)
+    rows = [rnd.integers(0, 9, 60) * 100 for _ in range(30)]  # three groups of first words
+    for ids in rows:
+        trie.add(collocations._phrases(ids, 0, (1, 2, 3)))
     mask = (1 << 21) - 1
-    assert {tuple(x for x in (k >> 42, k >> 21 & mask, k & mask) if x): n for k, n in zip(keys.tolist(), counts.tolist(), strict=True)} == plain
+    plain = Counter()
+    for ids in rows:
+        for m in (1, 2, 3):
+            for i in range(len(ids) - m + 1):
+                p = ids[i : i + m].tolist()
+                if 0 not in p:
+                    plain[tuple(p)] += 1
+    assert trie.sizes.total() == len(plain)
+    assert not isinstance(trie.root[0], Counter) and not isinstance(trie.root[0][100], Counter)
+    got, groups = {}, []
+    for keep in (len(plain) - 1, 0):
+        for keys, counts in trie.spill(keep):
+            groups.append(set((keys >> 50).tolist()))
+            got |= {tuple(x for x in (k >> 42, k >> 21 & mask, k & mask) if x): n for k, n in zip(keys.tolist(), counts.tolist(), strict=True)}
+    assert got == plain and len(groups) > 1 and not groups[0] & set().union(*groups[1:])
+
+
+def test_pair_filter_has_every_pair(spark):
+    rnd = random.Random(6)
+    words = [rnd.choice(["é", "日本", "w", "x-"]) + str(i) for i in range(300)]
+    pairs = [("en", f"{rnd.choice(words)} {rnd.choice(words)}") for _ in range(2000)]
+    held = collocations.PairFilter(spark.createDataFrame(pairs, "lang string, phrase string"), 16)
+    hashes = {w: collocations.xxhash.xxh64_intdigest(w.encode(), 42) for w in words}
+    known = lambda lang, a, b: held.neighbours(lang, np.array([hashes[a], hashes[b]], np.uint64))[1]
+    assert all(known("en", *p.split(" ")) for _, p in pairs)
+    others = [(rnd.choice(words), rnd.choice(words)) for _ in range(2000)]
+    assert sum(known("fr", a, b) for a, b in others) < 100
+
+
+@pytest.mark.parametrize("bits", [6, 20])
+def test_a_full_filter_does_not_change_the_result(spark, bits):
+    rows = phrase_rows(random.Random(9), 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, collocations.collocations(docs, filter_bits=bits).collect())) == plain_collocations(rows)
+    assert sorted(map(tuple, collocations.collocations(docs, longest=2).collect())) == plain_collocations(rows, longest=2)
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
