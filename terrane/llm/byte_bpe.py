@@ -31,16 +31,19 @@ import base64
 import re
 import struct
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
+
+from terrane.llm.common import fresh
 
 #: Pre-tokens that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 600_000, 40
+REMEMBERED, LONGEST = 300_000, 40
 #: Characters that are encoded together; a longer text is encoded in parts.
 BLOCK = 1 << 20
 BYTE_CHARS = {b: chr(0x100 + b) for b in range(256)}
@@ -213,32 +216,53 @@ def _parts(vocabulary: str | None) -> tuple[bytes, str, str]:
     return sentencepiece_model(read_ranks(vocabulary or default_vocabulary())), pre_token_pattern(0x10000), pre_token_pattern()
 
 
-def ids_of(text: Column, vocabulary: str | None = None) -> Column:
-    """The ids of a text, as an array."""
-    parts = _parts(vocabulary)
+def _with_column(df: DataFrame, source: str, result: str, kind: DataType, convert: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
+    """``df`` with a column made of another. ``convert`` gives it for the first rows of a batch, then for the next, as many as it likes."""
+    kept = df.drop(result)
+    given = fresh(df, "_given")
+    schema = StructType([*kept.schema.fields, StructField(result, kind)])
 
-    @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(codec(*parts).encode(texts)), dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest, at = batch.drop_columns([given]), 0
+            for made in convert(batch[given]):
+                part = rest.slice(at, len(made))
+                at += len(made)
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, result])
 
-    return encode(F.coalesce(text, F.lit("")))
+    return df.select(*(F.col(f"`{c}`") for c in kept.columns), F.col(source).alias(given)).mapInArrow(run, schema)
 
 
-def bytes_of(ids: Column, vocabulary: str | None = None) -> Column:
-    """The bytes that ids stand for; null for null. An id outside the vocabulary is an error."""
+def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with the ids of each text, as an array."""
     parts = _parts(vocabulary)
 
-    @F.pandas_udf("binary")
-    def decode(batch: pd.Series) -> pd.Series:
-        known = codec(*parts)
-        return batch.map(lambda ids: None if ids is None else known.decode(ids))
+    def convert(texts: pa.Array) -> Iterator[pa.Array]:
+        some: list[np.ndarray] = []
+        held = 0
+        for ids in codec(*parts).encode(t or "" for t in texts.to_pylist()):
+            some.append(ids)
+            held += len(ids)
+            if held > BLOCK // 4:
+                yield _lists(some)
+                some, held = [], 0
+        yield _lists(some)
 
-    return decode(ids)
+    return _with_column(docs, text_col, ids_col, ArrayType(IntegerType()), convert)
 
 
-def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabulary: str | None = None) -> DataFrame:
-    return docs.withColumn(ids_col, ids_of(F.col(text_col), vocabulary))
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32), pa.int32()))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", bytes_col: str = "bytes", vocabulary: str | None = None) -> DataFrame:
-    return encoded.withColumn(bytes_col, bytes_of(F.col(ids_col), vocabulary))
+    """``encoded`` with the bytes that the ids stand for; null for null. An id outside the vocabulary is an error."""
+    parts = _parts(vocabulary)
+
+    def convert(lists: pa.Array) -> Iterator[pa.Array]:
+        known = codec(*parts)
+        for i in range(0, len(lists), 1000):
+            yield pa.array([known.decode(ids.values.to_numpy()) if ids.is_valid else None for ids in lists[i : i + 1000]], pa.binary())
+
+    return _with_column(encoded, ids_col, bytes_col, BinaryType(), convert)
