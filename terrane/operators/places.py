@@ -44,9 +44,11 @@ def alike(name, short, city, phrases: list[str] | None = None):
     return some & (T.similar_name(a, b, c, phrases and [p.lower() for p in phrases]) | close)
 
 
-def center_city(boundary: DataFrame, city: DataFrame, inside: DataFrame, overrides: DataFrame | None = None, phrases: list[str] | None = None) -> DataFrame:
+def center_city(boundary: DataFrame, city: DataFrame, inside: DataFrame, overrides: DataFrame | None = None, phrases: list[str] | None = None, guard: bool = False) -> DataFrame:
     """``boundary_id, city_id, stage``: the first stage that gives a city, the least id within it.
 
+    ``guard``: a boundary of level 5 or less takes no hamlet, suburb or district by its admin centre or name.
+
     1: the override table; 2: the admin centre; 3: the same name, inside; 4: a similar name, inside; 5: none, a city is
     to be made of the boundary (null id). ``inside`` has ``id`` (city) and ``poly_id`` (boundary).
     """
@@ -58,7 +60,11 @@ def center_city(boundary: DataFrame, city: DataFrame, inside: DataFrame, overrid
     similar = alike(F.col("b_name"), F.coalesce("b_short", F.lit("")), F.col("c_name"), phrases)
     by_name = held.select("boundary_id", "city_id", F.when(same, 3).when(similar, 4).alias("stage")).where("stage IS NOT NULL")
     made = b.select("boundary_id", F.lit(None).cast("bigint").alias("city_id"), F.lit(5).alias("stage"))
-    every = by_admin.union(by_name).union(made)
+    every = by_admin.union(by_name)
+    if guard:
+        fit = boundary.select(F.col("id").alias("boundary_id"), "admin_level").join(every, "boundary_id").join(city.select(F.col("id").alias("city_id"), "type_code"), "city_id")
+        every = fit.where("admin_level > 5 OR type_code <= 3").select("boundary_id", "city_id", "stage")
+    every = every.union(made)
     if overrides is not None:
         every = every.union(overrides.select("boundary_id", "city_id", F.lit(1)))
     best = every.groupBy("boundary_id").agg(F.min(F.struct("stage", "city_id")).alias("m"))

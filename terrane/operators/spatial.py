@@ -2,15 +2,19 @@
 
 A large shape is not cut into millions of small cells: every row picks the level
 at which its envelope takes few cells (a cell of level k is 2^k times as wide),
-and the other side is entered at each level that occurs. Levels are few.
+and the other side is entered at each level that occurs. Levels are few. Shapes
+are joined edge by edge: no polygon or line travels with its cells.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
+from terrane.operators.shared import stage
 
 #: A row takes about this many cells along each side at most.
 ACROSS = 8
@@ -31,118 +35,231 @@ def cover(df: DataFrame, box: Column, deg: float) -> DataFrame:
     return tall.drop("_box", "_deg")
 
 
-def point_cells(df: DataFrame, lon: Column, lat: Column, deg: float) -> DataFrame:
-    """``df`` with a row for the point's cell of each level."""
-    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))
-    out = df.withColumn("_level", levels)
-    width = deg * F.pow(F.lit(2.0), F.col("_level"))
-    return out.withColumn("_cx", cell(lon, width)).withColumn("_cy", cell(lat, width))
-
-
+#: The finest cell of the polygon index, in degrees; a cell of level k is 2^k times as wide. Levels go by twos, so few occur.
+FINEST, TOP = 0.25 / 1024, 22
 CELL = ["_level", "_cx", "_cy"]
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, deg: float = 0.25) -> DataFrame:
-    """``id, poly_id``: points (``id, lon, lat``) in polygons (``id, geom``). A point is one cell a level, so no pair repeats."""
-    right = cover(polygons.select(F.col("id").alias("poly_id"), "geom"), G.geom_bbox(F.col("geom")), deg)
-    levels = right.select("_level").distinct()  # a dozen rows at most
-    left = point_cells(points.select("id", "lon", "lat"), F.col("lon"), F.col("lat"), deg).join(F.broadcast(levels), "_level", "left_semi")
-    return left.join(right, CELL).where(G.in_geom(F.col("lon"), F.col("lat"), F.col("geom"))).select("id", "poly_id")
+def _level_of(size: str, across: str) -> str:
+    """SQL: the least even level at which ``size`` degrees take ``across`` cells at most."""
+    return f"cast(2 * greatest(0, least({TOP // 2}, ceil(log2(greatest({size}, 1e-12) / ({FINEST} * {across})) / 2))) AS int)"
 
 
-def in_coverage(df: DataFrame, *coverages: DataFrame, deg: float = 0.25) -> DataFrame:
-    """Rows (``id, lon, lat``, the centroid) that lie in a polygon of every coverage."""
-    for c in coverages:
-        df = df.join(points_in_polygons(df, c, deg).select("id").distinct(), "id", "left_semi")
-    return df
-
+def _at_levels(df: DataFrame, levels: DataFrame, x: str, y: str) -> DataFrame:
+    """``df`` with a row for the cell of each level that occurs; ``levels`` are a dozen rows at most."""
+    every = df.withColumn("_level", F.expr(f"explode(sequence(0, {TOP}, 2))")).join(F.broadcast(levels), "_level", "left_semi")
+    return every.selectExpr("*", f"cast(floor({x} / ({FINEST} * pow(2, _level))) AS bigint) AS _cx", f"cast(floor({y} / ({FINEST} * pow(2, _level))) AS bigint) AS _cy")
 
-def points_outside(points: DataFrame, polygons: DataFrame, deg: float = 0.05) -> DataFrame:
-    return points.join(points_in_polygons(points, polygons, deg).select("id").distinct(), "id", "left_anti")
 
+def polygon_edges(polygons: DataFrame) -> DataFrame:
+    """``poly_id, part, e, ax, ay, bx, by`` of all rings, and ``_level, deg`` of the part's cells and its envelope ``x0, y0, x1, y1``."""
+    parts = polygons.selectExpr("id AS poly_id", "posexplode(geom) AS (part, g)").selectExpr(
+        "poly_id", "part", "concat(array(g.outer), coalesce(g.holes, slice(array(g.outer), 1, 0))) AS rings", *(f"{f}(transform(g.outer, p -> p.{c})) AS {n}" for f, c, n in (("array_min", "lon", "x0"), ("array_min", "lat", "y0"), ("array_max", "lon", "x1"), ("array_max", "lat", "y1")))
+    )
+    # A shape of many edges takes more cells, so that each has few of them.
+    across = "greatest(8, least(256, floor(sqrt(aggregate(rings, 0, (n, r) -> n + size(r))) / 2)))"
+    sized = parts.withColumn("_level", F.expr(_level_of("greatest(x1 - x0, y1 - y0)", across))).withColumn("deg", F.expr(f"{FINEST} * pow(2, _level)"))
+    ring = sized.where("size(rings) > 0").selectExpr("* EXCEPT (rings)", "posexplode(rings) AS (_r, ring)").where("size(ring) > 1")
+    edge = ring.selectExpr("* EXCEPT (ring)", "posexplode(zip_with(slice(ring, 1, size(ring) - 1), slice(ring, 2, size(ring) - 1), (a, b) -> named_struct('a', a, 'b', b))) AS (_k, s)")
+    return edge.selectExpr("poly_id", "part", "named_struct('r', _r, 'k', _k) AS e", "_level", "deg", "x0", "y0", "x1", "y1", "s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
+
+
+def _entered(df: DataFrame, deg: str, margin: str) -> DataFrame:
+    """Segments ``ax, ay, bx, by`` by pieces of at most a cell ``deg``, with the cells that a piece comes within ``margin`` degrees of; a cell may come twice."""
+    n = f"greatest(1, cast(ceil(greatest(abs(bx - ax), abs(by - ay)) / {deg}) AS int))"
+    piece = df.selectExpr("*", f"{n} AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _k")
+    ends = piece.selectExpr("* EXCEPT (_n, _k)", *(f"{a} + ({b} - {a}) * {k} / _n AS {c}" for a, b, k, c in (("ax", "bx", "_k", "_x0"), ("ax", "bx", "(_k + 1)", "_x1"), ("ay", "by", "_k", "_y0"), ("ay", "by", "(_k + 1)", "_y1"))))
+    span = lambda p, q: f"explode(sequence(cast(floor((least({p}, {q}) - {margin}) / {deg}) AS bigint), cast(floor((greatest({p}, {q}) + {margin}) / {deg}) AS bigint)))"
+    return ends.selectExpr("*", f"{span('_x0', '_x1')} AS _cx").selectExpr("* EXCEPT (_x0, _x1)", f"{span('_y0', '_y1')} AS _cy").drop("_y0", "_y1")
+
+
+def polygon_index(polygons: DataFrame) -> DataFrame:
+    """Cells of polygons: ``_level, _cx, _cy, poly_id, part, odd, e, ax, ay, bx, by, line``.
+
+    A full cell is one row without an edge and with ``odd`` 1; cells outside have none. A partial cell has a row for
+    each edge near it. Whether a point is inside is the parity of the edges that its ray to the east crosses: those
+    within the cell, and those beyond the cell's east side. The latter parity is, at the point's latitude, that of the
+    edges which cross the line of that side above: ``odd`` counts those above the cell, and ``line`` marks the edges
+    that cross it in or near the cell, which are asked at the point's own latitude. So no polygon is sent anywhere.
+    """
+    edge = stage(polygon_edges(polygons), "edges")
+    near = "deg * 1e-6"
+    crossing = "ay + (by - ay) * (_east - ax) / (bx - ax)"
+    # The highest row that lies below a crossing for certain.
+    row = f"CASE WHEN _y > floor(_y / deg) * deg + {near} THEN floor(_y / deg) - 1 ELSE floor(_y / deg) - 2 END"
+    listed = _entered(edge.drop("x0", "y0", "x1", "y1"), "deg", f"2 * {near}").distinct().selectExpr("*", "(_cx + 1) * deg AS _east")
+    listed = listed.selectExpr("*", f"CASE WHEN (ax < _east) <> (bx < _east) THEN {crossing} END AS _y")
+    listed = listed.selectExpr("poly_id", "part", "_cx", "_cy", "e", "ax", "ay", "bx", "by", f"coalesce(_cy > {row} AND _y >= _cy * deg - {near}, false) AS line")
+    columns = edge.selectExpr("*", "explode(sequence(cast(floor(least(ax, bx) / deg) AS bigint) - 1, cast(floor(greatest(ax, bx) / deg) AS bigint))) AS _cx").selectExpr("*", "(_cx + 1) * deg AS _east")
+    events = columns.where("(ax < _east) <> (bx < _east)").selectExpr("*", f"{crossing} AS _y").selectExpr("poly_id", "part", "_cx", f"cast({row} AS bigint) AS _cy", "1 AS n", "cast(null AS int) AS _level")
+    box = edge.select("poly_id", "part", "_level", "deg", "x0", "y0", "x1", "y1").distinct()
+    grid = box.selectExpr("*", "explode(sequence(cast(floor(x0 / deg) AS bigint), cast(floor(x1 / deg) AS bigint))) AS _cx").selectExpr("poly_id", "part", "_cx", "explode(sequence(cast(floor(y0 / deg) AS bigint), cast(floor(y1 / deg) AS bigint))) AS _cy", "0 AS n", "_level")
+    # A column of one polygon is a window: its cells and the edges that cross its east side.
+    above = Window.partitionBy("poly_id", "part", "_cx").orderBy(F.desc("_cy")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = grid.unionByName(events).withColumn("odd", (F.sum("n").over(above) % 2).cast("int")).where("_level IS NOT NULL").drop("n")
+    return cells.join(listed, ["poly_id", "part", "_cx", "_cy"], "left").where("odd = 1 OR e IS NOT NULL")
+
+
+#: SQL: whether an edge counts for a point: crossed within the cell, and, if it is marked, beyond the cell's east side.
+_SPANS = "(ay > lat) <> (by > lat)"
+_AT = "(bx - ax) * (lat - ay) / (by - ay) + ax"
+_EAST = f"((_cx + 1) * ({FINEST} * pow(2, _level)))"
+_COUNTS = f"""CASE WHEN e IS NULL THEN 0 ELSE
+ cast(CASE WHEN {_SPANS} THEN lon < {_AT} AND {_AT} < {_EAST} ELSE false END AS int)
+ ^ CASE WHEN line THEN cast(CASE WHEN {_SPANS} THEN {_AT} >= {_EAST} ELSE false END AS int) ^ cast(CASE WHEN ax >= {_EAST} THEN ay > lat ELSE by > lat END AS int) ELSE 0 END END"""
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame) -> DataFrame:
+    """``id, poly_id``: points (``id, lon, lat``, ids are unique) in polygons (``id, geom``): in any part, and in none of its holes.
+
+    Lower and left edges belong to a polygon, upper and right ones do not.
+    """
+    index = stage(polygon_index(polygons), "polygon-index")
+    left = _at_levels(points.select("id", "lon", "lat"), index.select("_level").distinct(), "lon", "lat")
+    counted = left.join(index, CELL).selectExpr("id", "poly_id", "part", "odd", f"{_COUNTS} AS n")
+    parity = counted.groupBy("id", "poly_id", "part").agg(F.bit_xor("n").alias("n"), F.max("odd").alias("odd"))
+    return parity.where("(n ^ odd) = 1").select("id", "poly_id").distinct()
 
-def lines_in_polygons(lines: DataFrame, polygons: DataFrame, deg: float = 0.05) -> DataFrame:
-    """``id, poly_id``: lines (``id, coords``) that meet polygons: a vertex inside, or a segment that crosses an edge."""
-    left = cover(lines.select("id", "coords"), G.bbox(F.col("coords")), deg)
-    right = cover(polygons.select(F.col("id").alias("poly_id"), "geom"), G.geom_bbox(F.col("geom")), deg)
-    # The envelopes are brought to the coarser of their levels, where both have a cell of their own.
-    top = lambda df: df.select(F.col("_level").alias("_top")).distinct()
-    levels = top(left).union(top(right)).distinct()  # a dozen rows at most
 
-    def lift(df: DataFrame, key: str, rest: str) -> DataFrame:
-        up = df.withColumn("_top", F.explode(F.sequence(F.col("_level"), F.lit(LEVELS - 1)))).join(F.broadcast(levels), "_top", "left_semi")
-        shift = (F.col("_top") - F.col("_level")).cast("int")
-        by = F.pow(F.lit(2.0), shift)
-        return up.select(key, rest, F.col("_level").alias(f"_own_{key}"), "_top", F.floor(F.col("_cx") / by).alias("_cx"), F.floor(F.col("_cy") / by).alias("_cy")).distinct()
+def in_coverage(df: DataFrame, *coverages: DataFrame) -> DataFrame:
+    """Rows (``id, lon, lat``, the centroid) that lie in a polygon of every coverage."""
+    for c in coverages:
+        df = df.join(points_in_polygons(df, c).select("id").distinct(), "id", "left_semi")
+    return df
 
-    a, b = lift(left, "id", "coords"), lift(right, "poly_id", "geom")
-    pairs = a.join(b, ["_top", "_cx", "_cy"]).where(F.col("_top") == F.greatest("_own_id", "_own_poly_id")).dropDuplicates(["id", "poly_id"])
-    inside = F.exists("coords", lambda p: G.in_geom(p["lon"], p["lat"], F.col("geom")))
-    rings = F.flatten(F.transform("geom", lambda p: F.concat(F.array(p["outer"]), F.coalesce(p["holes"], F.array().cast("array<array<struct<lon:double,lat:double>>>")))))
-    crosses = F.exists(G.segments(F.col("coords")), lambda s: F.exists(rings, lambda r: F.exists(G.segments(r), lambda e: _cross(s, e))))
-    return pairs.where(inside | crosses).select("id", "poly_id")
 
+def points_outside(points: DataFrame, polygons: DataFrame) -> DataFrame:
+    return points.join(points_in_polygons(points, polygons).select("id").distinct(), "id", "left_anti")
 
-def _side(a: Column, b: Column, c: Column) -> Column:
-    return F.signum((b["lon"] - a["lon"]) * (c["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (c["lon"] - a["lon"]))
 
+def lines_in_polygons(lines: DataFrame, polygons: DataFrame) -> DataFrame:
+    """``id, poly_id``: lines (``id, coords``) that meet polygons: a vertex inside, or a segment that meets an edge.
 
-def _cross(s: Column, e: Column) -> Column:
-    return (_side(s["a"], s["b"], e["a"]) != _side(s["a"], s["b"], e["b"])) & (_side(e["a"], e["b"], s["a"]) != _side(e["a"], e["b"], s["b"]))
+    Vertices are points of the polygon index. Segments and edges meet by cells: each at the level that suits its length,
+    and at the coarser levels of the other side. What is shuffled is single segments and edges.
+    """
+    vertex = lines.selectExpr("id", "posexplode(coords) AS (n, p)").selectExpr("named_struct('id', id, 'n', n) AS id", "p.lon AS lon", "p.lat AS lat")
+    inside = points_in_polygons(vertex, polygons).select("id.id", "poly_id")
+    cut = lines.where("size(coords) > 1").selectExpr("id", "explode(zip_with(slice(coords, 1, size(coords) - 1), slice(coords, 2, size(coords) - 1), (a, b) -> named_struct('a', a, 'b', b))) AS s")
+    level = _level_of("greatest(abs(bx - ax), abs(by - ay))", "4")
+    ends = ("s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
+    left = cut.selectExpr("id", *ends).selectExpr("*", f"{level} AS _own")
+    right = polygon_edges(polygons).selectExpr("poly_id", "ax", "ay", "bx", "by").selectExpr("*", f"{level} AS _own")
+    levels = left.select("_own").distinct().union(right.select("_own").distinct()).distinct().select(F.col("_own").alias("_level"))  # a dozen rows at most
+
+    def enter(df: DataFrame) -> DataFrame:
+        up = df.selectExpr("*", f"explode(sequence(_own, {TOP}, 2)) AS _level").join(F.broadcast(levels), "_level", "left_semi")
+        wide = up.selectExpr("*", f"{FINEST} * pow(2, _level) AS _deg")
+        return _entered(wide, "_deg", "_deg * 1e-6").drop("_deg").distinct()
+
+    a = enter(left)
+    b = enter(right).selectExpr("poly_id", "_own AS _own2", "_level", "_cx", "_cy", *(f"{c} AS {c}2" for c in ("ax", "ay", "bx", "by")))
+    side = lambda p, q, r: f"signum(({q[0]} - {p[0]}) * ({r[1]} - {p[1]}) - ({q[1]} - {p[1]}) * ({r[0]} - {p[0]}))"
+    s0, s1, e0, e1 = ("ax", "ay"), ("bx", "by"), ("ax2", "ay2"), ("bx2", "by2")
+    meets = f"{side(s0, s1, e0)} <> {side(s0, s1, e1)} AND {side(e0, e1, s0)} <> {side(e0, e1, s1)}"
+    crossing = a.join(b, CELL).where("_level = greatest(_own, _own2)").where(meets).select("id", "poly_id")
+    return inside.union(crossing).distinct()
 
 
 def candidates(left: DataFrame, right: DataFrame, radii_m: list[float], min_n: int) -> DataFrame:
     """``id, cand_id, level``: right points in the square round each left point, the square grown until it holds ``min_n``.
 
-    Each left point is entered in the cells of each level's square; hits are counted by level, and the first level with
-    enough of them is kept, or else the last. Right rows are entered once a level. Only the envelope is tested.
+    Each round has the points only that have not found enough yet; the last has what it finds. Only the envelope is
+    tested. A cell is as wide as the round's square, so a square meets few cells.
     """
-    grown = []
+    open_ = left.select("id", "lon", "lat")
+    other = right.selectExpr("id AS cand_id", "lon AS x", "lat AS y")
+    found = []
     for k, m in enumerate(radii_m):
-        # A cell as wide as the widest square of the level at 75 degrees: a square meets four cells at most.
         deg = 2 * m * 180 / (G.PLAIN_RADIUS * 3.141592653589793)
-        d = G.m_to_dlon_dlat(F.col("lat"), F.lit(float(m)))
-        box = F.struct((F.col("lon") - d["dlon"]).alias("min_lon"), (F.col("lat") - d["dlat"]).alias("min_lat"), (F.col("lon") + d["dlon"]).alias("max_lon"), (F.col("lat") + d["dlat"]).alias("max_lat"))
-        a = left.select("id", box.alias("b"))
-        a = a.withColumn("_cx", F.explode(F.sequence(cell(F.col("b.min_lon"), deg), cell(F.col("b.max_lon"), deg)))).withColumn("_cy", F.explode(F.sequence(cell(F.col("b.min_lat"), deg), cell(F.col("b.max_lat"), deg))))
-        b = right.select(F.col("id").alias("cand_id"), F.col("lon").alias("x"), F.col("lat").alias("y")).withColumn("_cx", cell(F.col("x"), deg)).withColumn("_cy", cell(F.col("y"), deg))
-        hit = a.join(b, ["_cx", "_cy"]).where("x BETWEEN b.min_lon AND b.max_lon AND y BETWEEN b.min_lat AND b.max_lat")
-        grown.append(hit.select("id", "cand_id", F.lit(k).alias("level")))
-    hits = grown[0]
-    for g in grown[1:]:
-        hits = hits.unionByName(g)
-    counts = hits.groupBy("id", "level").agg(F.count(F.lit(1)).alias("n"))
-    chosen = counts.groupBy("id").agg(F.coalesce(F.min(F.when(F.col("n") >= min_n, F.col("level"))), F.lit(len(radii_m) - 1)).alias("level"))
-    return hits.join(chosen, ["id", "level"])
+        turn = f"degrees({float(m)} / {G.EARTH_RADIUS})"
+        a = open_.selectExpr("id", f"lon - {turn} / cos(radians(lat)) AS x0", f"lat - {turn} AS y0", f"lon + {turn} / cos(radians(lat)) AS x1", f"lat + {turn} AS y1")
+        span = lambda p, q: f"explode(sequence(cast(floor({p} / {deg}) AS bigint), cast(floor({q} / {deg}) AS bigint)))"  # noqa: E731, B023
+        a = a.selectExpr("*", f"{span('x0', 'x1')} AS _cx").selectExpr("*", f"{span('y0', 'y1')} AS _cy")
+        b = other.selectExpr("*", f"cast(floor(x / {deg}) AS bigint) AS _cx", f"cast(floor(y / {deg}) AS bigint) AS _cy")
+        hit = stage(a.join(b, ["_cx", "_cy"]).where("x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1").selectExpr("id", "cand_id", f"{k} AS level"), "candidates")
+        if k + 1 == len(radii_m):
+            found.append(hit)
+            break
+        enough = hit.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n).select("id")
+        found.append(hit.join(enough, "id", "left_semi"))
+        open_ = stage(open_.join(enough, "id", "left_anti"), "open-points")
+        if open_.isEmpty():
+            break
+    return reduce(DataFrame.union, found)
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, max_m: float) -> DataFrame:
     """``id, line_id, dist_m``: of the lines within ``max_m`` metres the nearest, of equal ones (to a micrometre) the one with the least id."""
-    best = near_segments(points, segments, max_m).groupBy("id").agg(F.min(F.struct(F.round("dist_m", 6).alias("dist_m"), "line_id")).alias("m"))
-    return best.select("id", F.col("m.line_id").alias("line_id"), F.col("m.dist_m").alias("dist_m"))
+    radii = [m for m in (25.0, 75.0, 200.0, 400.0) if m < max_m / 2]
+    return nearest_line(points, segments, [*radii, max_m])
 
 
-def near_segments(points: DataFrame, segments: DataFrame, max_m: float) -> DataFrame:
-    """``id, line_id, dist_m`` of all segments within ``max_m`` metres of a point, and at times some of them twice.
+def nearest_line(points: DataFrame, segments: DataFrame, radii_m: list[float], keys: tuple[str, ...] = (), limit: str | None = None) -> DataFrame:
+    """``id, line_id, dist_m``: the nearest line within the last radius, or within the point's own ``limit`` in metres.
 
-    ``segments`` has ``line_id, ax, ay, bx, by``. Segments are entered in the cells that they come within ``max_m`` of,
-    points in their own, so a pair meets once a cell; the least of each point is a sum over rows.
+    The square round the points grows from radius to radius, and only points that have found nothing yet go on: what is
+    within a radius is nearer than all that is beyond it. Lines are of the point's ``keys``, which both sides have.
+    """
+    open_ = points.select("id", "lon", "lat", *keys, *([F.col(limit).alias("_limit")] if limit else []))
+    found, before = [], 0.0
+    for k, radius in enumerate(radii_m):
+        if limit:
+            open_ = open_.where(F.col("_limit") > before)
+        hits = near_segments(open_, segments, radius, keys)
+        best = hits.groupBy("id").agg(F.min(F.struct(F.round("dist_m", 6).alias("dist_m"), "line_id")).alias("m"))
+        found.append(stage(best.select("id", F.col("m.line_id").alias("line_id"), F.col("m.dist_m").alias("dist_m")), "nearest"))
+        if k + 1 < len(radii_m):
+            open_ = stage(open_.join(found[-1].select("id"), "id", "left_anti"), "open-points")
+            if open_.isEmpty():
+                break
+        before = radius
+    out = reduce(DataFrame.union, found)
+    if limit:
+        out = out.join(points.select("id", F.col(limit).alias("_limit")), "id").where(F.col("dist_m") <= F.col("_limit")).drop("_limit")
+    return out
+
+
+def _pieces(segments: DataFrame, deg: float, max_m: float) -> DataFrame:
+    """``segments`` by pieces of at most a cell, with a row for each cell ``_cx, _cy`` that a piece comes within ``max_m`` metres of.
+
+    A slanting segment's envelope would take cells far from it; its pieces do not. ``_f`` and ``_t`` are where the piece
+    begins and ends along its segment; a segment that has them already is divided between them.
+    """
+    if "_f" not in segments.columns:
+        segments = segments.selectExpr("*", "0D AS _f", "1D AS _t")
+    keep = [c for c in segments.columns if c not in ("_f", "_t")]
+    parts = segments.selectExpr("*", f"greatest(1, cast(ceil((_t - _f) * greatest(abs(bx - ax), abs(by - ay)) / {deg}) AS int)) AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _k")
+    parts = parts.selectExpr(*keep, "_f + (_t - _f) / _n * _k AS _f", "_f + (_t - _f) / _n * (_k + 1) AS _t")
+    parts = parts.selectExpr("*", "ax + (bx - ax) * _f AS _x0", "ax + (bx - ax) * _t AS _x1", "ay + (by - ay) * _f AS _y0", "ay + (by - ay) * _t AS _y1")
+    # A little more than asked, as cells are left by rounding too. The margin is that of the end further from the equator.
+    turn = f"degrees({max_m * 1.05 + 0.01} / {G.EARTH_RADIUS})"
+    span = lambda p, q, by: f"explode(sequence(cast(floor((least({p}, {q}) - {by}) / {deg}) AS bigint), cast(floor((greatest({p}, {q}) + {by}) / {deg}) AS bigint)))"
+    wide = parts.selectExpr("*", f"{span('_x0', '_x1', f'{turn} / cos(radians(greatest(abs(_y0), abs(_y1))))')} AS _cx")
+    return wide.selectExpr(*keep, "_f", "_t", "_cx", f"{span('_y0', '_y1', turn)} AS _cy")
+
+
+def segments_round(points: DataFrame, segments: DataFrame, max_m: float, deg: float) -> DataFrame:
+    """Pieces of segments by cell, as :func:`_pieces` gives them, without what is in no coarse cell with a point."""
+    coarse = 16 * deg
+    held = points.selectExpr(f"cast(floor(lon / {coarse}) AS bigint) AS _cx", f"cast(floor(lat / {coarse}) AS bigint) AS _cy").distinct()
+    some = _pieces(segments, coarse, max_m).join(held, ["_cx", "_cy"], "left_semi").drop("_cx", "_cy").distinct()
+    return _pieces(some, deg, max_m).drop("_f", "_t")
+
+
+def near_segments(points: DataFrame, segments: DataFrame, max_m: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``id, *keys, line_id, dist_m`` of all segments within ``max_m`` metres of a point, and at times some of them twice.
+
+    ``segments`` has ``line_id, ax, ay, bx, by`` and the ``keys``, which a pair agrees in. Points are entered in their own
+    cell, so a pair meets once a piece; the least of each point is a sum over rows.
     """
     deg = 4 * max_m * 180 / (G.PLAIN_RADIUS * 3.141592653589793)
-    # A long segment is entered in pieces of about a cell: the envelope of a slanting whole would take cells far from it.
-    n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))) / deg)).cast("int")
-    pieces = segments.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    along = lambda a, b, k: F.col(a) + (F.col(b) - F.col(a)) * k / F.col("_n")
-    segments = pieces.select("line_id", *(along(a, b, k).alias(c) for a, b, k, c in (("ax", "bx", F.col("_k"), "ax"), ("ay", "by", F.col("_k"), "ay"), ("ax", "bx", F.col("_k") + 1, "bx"), ("ay", "by", F.col("_k") + 1, "by"))))
-    mid = (F.col("ay") + F.col("by")) / 2
-    d = G.m_to_dlon_dlat(mid, F.lit(float(max_m) * 1.05))
-    box = F.struct(
-        (F.least("ax", "bx") - d["dlon"]).alias("min_lon"), (F.least("ay", "by") - d["dlat"]).alias("min_lat"), (F.greatest("ax", "bx") + d["dlon"]).alias("max_lon"), (F.greatest("ay", "by") + d["dlat"]).alias("max_lat")
-    )
-    right = cover(segments.select("line_id", "ax", "ay", "bx", "by"), box, deg)
-    left = point_cells(points.select("id", "lon", "lat"), F.col("lon"), F.col("lat"), deg).join(F.broadcast(right.select("_level").distinct()), "_level", "left_semi")
-    dist = G.segment_distance_m(*(F.col(c) for c in ("lon", "lat", "ax", "ay", "bx", "by")))
-    return left.join(right, CELL).withColumn("dist_m", dist).where(F.col("dist_m") <= max_m).select("id", "line_id", "dist_m")
+    left = points.selectExpr("id", "lon", "lat", *keys, f"cast(floor(lon / {deg}) AS bigint) AS _cx", f"cast(floor(lat / {deg}) AS bigint) AS _cy")
+    right = segments_round(points, segments.select("line_id", "ax", "ay", "bx", "by", *keys), max_m, deg)
+    met = left.join(right, ["_cx", "_cy", *keys]).selectExpr("*", "(bx - ax) * (bx - ax) + (by - ay) * (by - ay) AS _s")
+    met = met.selectExpr("*", "CASE WHEN _s = 0 THEN 0D ELSE greatest(0D, least(1D, ((lon - ax) * (bx - ax) + (lat - ay) * (by - ay)) / _s)) END AS _p").selectExpr("*", "ax + _p * (bx - ax) AS _x", "ay + _p * (by - ay) AS _y")
+    sine = "pow(sin(radians(_y - lat) / 2), 2) + cos(radians(lat)) * cos(radians(_y)) * pow(sin(radians(_x - lon) / 2), 2)"
+    return met.selectExpr("id", *keys, "line_id", f"2 * {G.EARTH_RADIUS} * asin(sqrt({sine})) AS dist_m").where(F.col("dist_m") <= max_m)
 
 
 def line_segments(way_points: DataFrame) -> DataFrame:
