@@ -65,6 +65,14 @@ SELECT n_nationkey AS id, n_name AS name, 4 + n_nationkey % 7 AS admin_level, q.
        CAST(14.0 AS DOUBLE) + (n_nationkey % 5 + q.dx) * CAST(0.02 AS DOUBLE) AS lon,
        CAST(50.0 AS DOUBLE) + (floor(n_nationkey / 5) + q.dy) * CAST(0.016 AS DOUBLE) AS lat
 FROM nation CROSS JOIN (VALUES (0, 0, 0), (1, 0, 1), (2, 1, 1), (3, 1, 0), (4, 0, 0)) AS q(seq, dx, dy)
+""",
+    # Slanted shapes: a part with a hole, and a second one.
+    "shape_ring": """
+SELECT n_nationkey AS id, q.part, q.ring, q.seq,
+       CAST(14.0 AS DOUBLE) + (n_nationkey % 5) * CAST(0.02 AS DOUBLE) + q.dx * CAST(0.001 AS DOUBLE) AS lon,
+       CAST(50.0 AS DOUBLE) + floor(n_nationkey / 5) * CAST(0.016 AS DOUBLE) + q.dy * CAST(0.001 AS DOUBLE) AS lat
+FROM nation CROSS JOIN (VALUES (0, 0, 0, 10, -3), (0, 0, 1, 27, 7), (0, 0, 2, 11, 19), (0, 0, 3, -5, 8), (0, 0, 4, 10, -3),
+  (0, 1, 0, 8, 4), (0, 1, 1, 13, 6), (0, 1, 2, 9, 11), (0, 1, 3, 8, 4), (1, 0, 0, 30, 1), (1, 0, 1, 36, 3), (1, 0, 2, 31, 15), (1, 0, 3, 30, 1)) AS q(part, ring, seq, dx, dy)
 """,
     "house": """
 SELECT c_custkey AS id, CAST(k % 40 AS VARCHAR(10)) AS number,

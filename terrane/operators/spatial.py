@@ -109,12 +109,13 @@ _COUNTS = f"""CASE WHEN e IS NULL THEN 0 ELSE
  ^ CASE WHEN line THEN cast(CASE WHEN {_SPANS} THEN {_AT} >= {_EAST} ELSE false END AS int) ^ cast(CASE WHEN ax >= {_EAST} THEN ay > lat ELSE by > lat END AS int) ELSE 0 END END"""
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """``id, poly_id``: points (``id, lon, lat``, ids are unique) in polygons (``id, geom``): in any part, and in none of its holes.
 
-    Lower and left edges belong to a polygon, upper and right ones do not.
+    Lower and left edges belong to a polygon, upper and right ones do not. A written :func:`polygon_index` of the
+    polygons can be given, to be made once for many uses.
     """
-    index = stage(polygon_index(polygons), "polygon-index")
+    index = stage(polygon_index(polygons), "polygon-index") if index is None else index
     left = _at_levels(points.select("id", "lon", "lat"), index.select("_level").distinct(), "lon", "lat")
     counted = left.join(index, CELL).selectExpr("id", "poly_id", "part", "odd", f"{_COUNTS} AS n")
     parity = counted.groupBy("id", "poly_id", "part").agg(F.bit_xor("n").alias("n"), F.max("odd").alias("odd"))
@@ -132,14 +133,14 @@ def points_outside(points: DataFrame, polygons: DataFrame) -> DataFrame:
     return points.join(points_in_polygons(points, polygons).select("id").distinct(), "id", "left_anti")
 
 
-def lines_in_polygons(lines: DataFrame, polygons: DataFrame) -> DataFrame:
+def lines_in_polygons(lines: DataFrame, polygons: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """``id, poly_id``: lines (``id, coords``) that meet polygons: a vertex inside, or a segment that meets an edge.
 
     Vertices are points of the polygon index. Segments and edges meet by cells: each at the level that suits its length,
     and at the coarser levels of the other side. What is shuffled is single segments and edges.
     """
     vertex = lines.selectExpr("id", "posexplode(coords) AS (n, p)").selectExpr("named_struct('id', id, 'n', n) AS id", "p.lon AS lon", "p.lat AS lat")
-    inside = points_in_polygons(vertex, polygons).select("id.id", "poly_id")
+    inside = points_in_polygons(vertex, polygons, index).select("id.id", "poly_id")
     cut = lines.where("size(coords) > 1").selectExpr("id", "explode(zip_with(slice(coords, 1, size(coords) - 1), slice(coords, 2, size(coords) - 1), (a, b) -> named_struct('a', a, 'b', b))) AS s")
     level = _level_of("greatest(abs(bx - ax), abs(by - ay))", "4")
     ends = ("s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")

@@ -15,7 +15,8 @@ from terrane.operators import places as P
 from terrane.operators import spatial as S
 from terrane.operators import streets as ST
 from terrane.operators import tiles as TI
-from terrane.plans.queries import _INSIDE, _NEAR, _POINTS, _TILES, _hav, _inside, _node_tiles, boundary, query, way_points
+from terrane.plans import jobs
+from terrane.plans.queries import _INSIDE, _NEAR, _POINTS, _SEG, _T, _TILES, _hav, _inside, _node_tiles, boundary, query, way_points
 
 
 @query("house", sql="""
@@ -206,3 +207,57 @@ def streets_near_houses(spark, d):
 def number_checks(spark, d):
     o = select(spark, d, "SELECT o_orderkey AS id, o_totalprice, o_orderpriority FROM orders")
     return o.select("id", F.round("o_totalprice").cast("int").alias("number"), T.is_int(F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("x1")).alias("whole"), T.is_numeric(F.col("o_orderpriority")).alias("is_num"))
+
+
+# Houses and shapes
+
+_HOUSES = "SELECT id, CASE WHEN street = '' THEN NULL WHEN id % 10 = 1 THEN concat(street, ' St') ELSE street END AS street, lon, lat FROM house"
+
+
+@query("house", "osm_node", "way_node", "way_info", sql=f"""
+WITH {_SEG}, hh AS ({_HOUSES}), st AS (SELECT sg.*, i.name FROM sg JOIN way_info i ON sg.way_id = i.id),
+c AS (SELECT h.id, h.street, s.way_id, s.name, lon, lat, ax, ay, bx, by_, {_T} AS t FROM hh h JOIN st s ON (h.street IS NULL OR h.street = s.name OR jaro_winkler_similarity(h.street, s.name) > 0.9)
+ AND h.lon >= least(ax, bx) - 0.006 AND h.lon <= greatest(ax, bx) + 0.006 AND h.lat >= least(ay, by_) - 0.004 AND h.lat <= greatest(ay, by_) + 0.004),
+m AS (SELECT id, street, way_id, name, round({_hav('lon', 'lat', '(ax + t * (bx - ax))', '(ay + t * (by_ - ay))')}, 6) AS dist FROM c),
+f AS (SELECT id, way_id, CASE WHEN street IS NULL THEN 1 WHEN lower(street) = lower(name) THEN 2 ELSE 3 END AS way, CASE WHEN street IS NOT NULL AND street <> name THEN -jaro_winkler_similarity(street, name) ELSE dist END AS rate FROM m WHERE dist <= CASE WHEN street IS NULL THEN 75 ELSE 400 END)
+SELECT h.id, k.way_id AS street_id FROM hh h LEFT JOIN (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY id ORDER BY way, round(rate, 9), way_id) = 1) k ON h.id = k.id""")
+def linked_houses(spark, d):
+    """Every house with its street, each way being one: by its name, by a similar one, and without a name by nearness."""
+    lines = E.resolve_ways(lens(spark, d, "way_node"), lens(spark, d, "osm_node"))
+    street = lens(spark, d, "way_info").select("id", "name").join(lines, "id").select("id", "name", F.array("coords").alias("geom"))
+    h = lens(spark, d, "house").withColumn("street_name", F.when(F.col("street") == "", None).when(F.col("id") % 10 == 1, F.concat("street", F.lit(" St"))).otherwise(F.col("street")))
+    none = F.lit(None).cast("string")
+    house = h.select(F.col("id").alias("row"), "id", "street_name", none.alias("place"), "lon", "lat")
+    place = lens(spark, d, "place").withColumns({"names": F.create_map().cast("map<string,string>"), "geom": F.lit(None).cast("array<struct<outer:array<struct<lon:double,lat:double>>,holes:array<array<struct<lon:double,lat:double>>>>>")})
+    return jobs.link_houses(house, street, place).select("id", "street_id")
+
+
+def shapes(spark, d):
+    """The slanted shapes of the lens as multi-polygons."""
+    ring = lens(spark, d, "shape_ring").groupBy("id", "part", "ring").agg(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))).alias("r"))
+    ring = ring.select("id", "part", "ring", F.transform("r", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("r"))
+    part = ring.groupBy("id", "part").agg(F.array_sort(F.collect_list(F.struct("ring", "r"))).alias("g"))
+    part = part.select("id", "part", F.struct(F.col("g")[0]["r"].alias("outer"), F.transform(F.filter("g", lambda x: x["ring"] > 0), lambda x: x["r"]).alias("holes")).alias("p"))
+    return part.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("part", "p"))).alias("g")).select("id", F.transform("g", lambda x: x["p"]).alias("geom"))
+
+
+_SHAPE = """e AS (SELECT * FROM (SELECT id, part, lon AS ex, lat AS ey, lead(lon) OVER (PARTITION BY id, part, ring ORDER BY seq) AS fx, lead(lat) OVER (PARTITION BY id, part, ring ORDER BY seq) AS fy FROM shape_ring) WHERE fx IS NOT NULL)"""
+_IN_SHAPE = "(e.ey > {p}.lat) <> (e.fy > {p}.lat) AND {p}.lon < (e.fx - e.ex) * ({p}.lat - e.ey) / (e.fy - e.ey) + e.ex"
+
+
+@query("osm_node", "shape_ring", sql=f"""
+WITH {_SHAPE}, c AS (SELECT n.id, e.id AS poly_id, part, count(*) AS k FROM osm_node n JOIN e ON {_IN_SHAPE.format(p="n")} GROUP BY n.id, e.id, part)
+SELECT DISTINCT id, poly_id FROM c WHERE k % 2 = 1""")
+def nodes_in_shapes(spark, d):
+    return S.points_in_polygons(lens(spark, d, "osm_node"), shapes(spark, d))
+
+
+@query("osm_node", "way_node", "shape_ring", sql=f"""
+WITH {_POINTS}, {_SHAPE}, s AS (SELECT * FROM (SELECT way_id, lon AS px, lat AS py, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS qx, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS qy FROM wp) WHERE qx IS NOT NULL),
+c AS (SELECT n.id, e.id AS poly_id, part, count(*) AS k FROM osm_node n JOIN e ON {_IN_SHAPE.format(p="n")} GROUP BY n.id, e.id, part)
+SELECT w.way_id AS id, c.poly_id FROM wp w JOIN c ON w.ref = c.id AND c.k % 2 = 1 WHERE w.way_id IN (SELECT way_id FROM s)
+UNION SELECT s.way_id, e.id FROM s JOIN e ON {_side('p', 'q', 'e')} <> {_side('p', 'q', 'f')} AND {_side('e', 'f', 'p')} <> {_side('e', 'f', 'q')}""")
+def lines_in_shapes(spark, d):
+    """Every way against slanted shapes with holes and parts."""
+    lines = E.resolve_ways(lens(spark, d, "way_node"), lens(spark, d, "osm_node"))
+    return S.lines_in_polygons(lines, shapes(spark, d))

@@ -198,7 +198,7 @@ def test_house_links_match_a_plain_version(spark, seed):
     places = spark.createDataFrame(town, f"id long, type_code int, name string, is_in string, population int, lon double, lat double, names map<string,string>, geom array<{POLYGON}>")
     houses = spark.createDataFrame(house, "row long, id long, number string, street_name string, place string, city string, lon double, lat double")
     streets = spark.createDataFrame(street, f"id long, name string, geom array<{LINE}>")
-    got = {r["row"]: (r["street_id"], r["name_key"]) for r in jobs.link_houses(houses, streets, None, places).collect()}
+    got = {r["row"]: (r["street_id"], r["name_key"]) for r in jobs.link_houses(houses, streets, places).collect()}
     fold = lambda s: spark_norm[s]
     every = sorted({n for _, n, _ in street} | {h[3] or h[4] for h in house if h[3] or h[4]})
     from terrane.functions import tags as T
