@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrane.functions import geo as G
 from terrane.functions import tags as T
 from terrane.operators.kernels import jaro_winkler
+from terrane.operators.overlay import union_polygons
 from terrane.schema import CITY_TYPES
 
 
@@ -165,9 +166,9 @@ def country_boundary(matches: DataFrame, boundary: DataFrame) -> DataFrame:
     return known.join(least, ["country", "admin_level"]).select("country", "boundary_id", "admin_level")
 
 
-def collect_parts(polygons: DataFrame, *keys: str) -> DataFrame:
-    """Polygons of one key as one multi-polygon; what is in any part is in the whole."""
-    return polygons.groupBy(*keys).agg(F.flatten(F.collect_list("geom")).alias("geom"))
+def collect_parts(polygons: DataFrame, key: str) -> DataFrame:
+    """``key, geom``: the union of the polygons of each key, as parts that do not overlap."""
+    return union_polygons(polygons, key)
 
 
 def missing_countries(wanted: DataFrame, found: DataFrame) -> DataFrame:

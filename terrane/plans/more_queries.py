@@ -261,3 +261,21 @@ def lines_in_shapes(spark, d):
     """Every way against slanted shapes with holes and parts."""
     lines = E.resolve_ways(lens(spark, d, "way_node"), lens(spark, d, "osm_node"))
     return S.lines_in_polygons(lines, shapes(spark, d))
+
+
+@query("boundary_ring", sql="""
+WITH r AS (SELECT id % 3 AS k, round(min(lon), 9) AS x0, round(max(lon) + 0.013, 9) AS x1, round(min(lat), 9) AS y0, round(max(lat) + 0.007, 9) AS y1 FROM boundary_ring GROUP BY id),
+x AS (SELECT k, v AS xa, lead(v) OVER (PARTITION BY k ORDER BY v) AS xb FROM (SELECT DISTINCT k, unnest([x0, x1]) AS v FROM r)), y AS (SELECT k, v AS ya, lead(v) OVER (PARTITION BY k ORDER BY v) AS yb FROM (SELECT DISTINCT k, unnest([y0, y1]) AS v FROM r)),
+c AS (SELECT x.k, xa, xb, ya, yb FROM x JOIN y ON x.k = y.k WHERE xb IS NOT NULL AND yb IS NOT NULL AND EXISTS (SELECT 1 FROM r WHERE r.k = x.k AND r.x0 <= xa AND r.x1 >= xb AND r.y0 <= ya AND r.y1 >= yb))
+SELECT k, round(sum((xb - xa) * (yb - ya)), 9) AS area, min(xa) AS west, max(xb) AS east, min(ya) AS south, max(yb) AS north FROM c GROUP BY k""")
+def united_boundaries(spark, d):
+    """Boundaries grown to the east and north until they overlap, united by every third id: overlaps count once."""
+    grown = lambda c, by: F.when(F.col(f"p.{c}") > F.array_min(F.transform(F.col("geom")[0]["outer"], lambda p: p[c])), F.round(F.col(f"p.{c}") + by, 9)).otherwise(F.round(f"p.{c}", 9))
+    b = boundary(spark, d)
+    p = b.select("id", "geom", F.posexplode(F.col("geom")[0]["outer"]).alias("n", "p"))
+    ring = p.select("id", "n", grown("lon", 0.013).alias("lon"), grown("lat", 0.007).alias("lat")).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "lon", "lat"))).alias("r"))
+    none = F.array().cast("array<array<struct<lon:double,lat:double>>>")
+    box = ring.select((F.col("id") % 3).alias("k"), F.array(F.struct(F.transform("r", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("outer"), none.alias("holes"))).alias("geom"))
+    out = P.collect_parts(box, "k").withColumn("b", G.geom_bbox(F.col("geom")))
+    area = F.aggregate("geom", F.lit(0.0), lambda a, p: a + G.ring_area(p["outer"]) - F.aggregate(p["holes"], F.lit(0.0), lambda h, r: h + G.ring_area(r)))
+    return out.select("k", F.round(area, 9).alias("area"), *(F.col(f"b.{c}").alias(n) for c, n in (("min_lon", "west"), ("max_lon", "east"), ("min_lat", "south"), ("max_lat", "north"))))
