@@ -67,14 +67,35 @@ def resolve_members(member: DataFrame, way: DataFrame) -> DataFrame:
     return member.where("type = 'way'").join(way.select(F.col("id").alias("ref"), "coords"), "ref")
 
 
-def expand_relations(member: DataFrame, max_depth: int = 32) -> DataFrame:
+def reach(start: DataFrame, steps: DataFrame, *keys: str, max_depth: int = 64) -> DataFrame:
+    """``*keys, id``: the start (``*keys, id``) and all that is reached from it by steps ``_from, _to``.
+
+    A round follows only what was new in the one before, and a row is followed once, so cycles end and the work is that
+    of what is reached.
+    """
+    cols = [*keys, "id"]
+    front = seen = stage(start.select(*cols).distinct(), "reach")
+    steps = steps.select("_from", "_to").distinct()
+    for _ in range(max_depth):
+        ahead = front.join(steps, front.id == steps["_from"]).select(*keys, F.col("_to").alias("id")).distinct()
+        front = stage(ahead.join(seen, cols, "left_anti"), "reach")
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen
+
+
+def expand_relations(member: DataFrame, max_depth: int = 32, roots: DataFrame | None = None) -> DataFrame:
     """``root, rel_id, depth``: every relation reached from each root through relation members, the root at depth 0.
 
-    A step is one join over the frontier. A path stops where it would meet a relation that it holds already, so a
+    ``roots`` (``id``) are all relations with members if none are given. A step is one join over the frontier. A path stops where it would meet a relation that it holds already, so a
     cycle ends; ``depth`` is the least one. ``max_depth`` only guards against broken data.
     """
     child = member.where("type = 'relation'").select(F.col("rel_id").alias("_from"), F.col("ref").alias("_to")).distinct()
-    front = member.select(F.col("rel_id").alias("root")).distinct().select("root", F.col("root").alias("rel_id"), F.lit(0).alias("depth"))
+    first = member.select(F.col("rel_id").alias("root")).distinct()
+    if roots is not None:
+        first = first.join(roots.select(F.col("id").alias("root")).distinct(), "root", "left_semi")
+    front = first.select("root", F.col("root").alias("rel_id"), F.lit(0).alias("depth"))
     seen = stage(front, "expand")
     front = seen
     for depth in range(1, max_depth + 1):
@@ -90,8 +111,8 @@ def expand_relations(member: DataFrame, max_depth: int = 32) -> DataFrame:
 def complete(e: Entities, kept: Entities) -> Entities:
     """``kept`` with all that it refers to: relations of relations, ways of these, nodes of all."""
     all_members = members(e.relation)
-    relations = expand_relations(all_members).join(kept.relation.select(F.col("id").alias("root")), "root", "left_semi").select(F.col("rel_id").alias("id"))
-    relations = relations.union(kept.relation.select("id")).distinct()
+    down = all_members.where("type = 'relation'").select(F.col("rel_id").alias("_from"), F.col("ref").alias("_to"))
+    relations = reach(kept.relation.select("id"), down)
     own = all_members.join(relations.withColumnRenamed("id", "rel_id"), "rel_id", "left_semi")
     ways = own.where("type = 'way'").select(F.col("ref").alias("id")).union(kept.way.select("id")).distinct()
     way = e.way.join(ways, "id", "left_semi")

@@ -39,7 +39,7 @@ def way_routes(member: DataFrame, routes: DataFrame) -> DataFrame:
 
     A child of a named superroute with the same symbol is left to the parent.
     """
-    down = expand_relations(member).join(routes.select(F.col("id").alias("root")), "root", "left_semi")
+    down = expand_relations(member, roots=routes)
     parent = routes.select(F.col("id").alias("root"), F.col("tags").alias("_p"))
     own = routes.select(F.col("id").alias("rel_id"), F.col("tags").alias("_c"))
     styled = down.where("root <> rel_id").join(parent, "root").join(own, "rel_id").where(T.same_style(F.col("_p"), F.col("_c"))).select("rel_id").distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
+from terrane.operators.entities import reach
 from terrane.operators.shared import stage
 
 #: A row takes about this many cells along each side at most.
@@ -277,14 +278,16 @@ def nearest_city(points: DataFrame, pairs: DataFrame, cities: DataFrame) -> Data
     return near.groupBy("id").agg(F.min(F.struct("dist_m", "city_id")).alias("m")).select("id", "m.city_id", "m.dist_m")
 
 
-def extract_regions(node: DataFrame, way_node: DataFrame, member: DataFrame, polygons: DataFrame, strategy: str = "simple") -> dict[str, DataFrame]:
+def extract_regions(node: DataFrame, way_node: DataFrame, member: DataFrame, polygons: DataFrame, strategy: str = "simple", full: DataFrame | None = None) -> dict[str, DataFrame]:
     """Which entities belong to which region: tables ``node``, ``way``, ``relation`` of ``region_id, id``.
 
     simple: nodes inside, ways with such a node, relations with such a member. complete_ways: also all nodes of those
-    ways, and parent relations. smart: also all members of the relations, with their nodes.
+    ways, and parent relations. smart: also the node and way members, with the ways' nodes, of those relations; of
+    those among ``full`` (``id``) only, if that is given.
     """
     nodes = points_in_polygons(node, polygons).select(F.col("poly_id").alias("region_id"), "id")
-    ways = way_node.join(nodes.select("region_id", F.col("id").alias("ref")), "ref").select("region_id", F.col("way_id").alias("id")).distinct()
+    nodes = stage(nodes, "nodes-inside")
+    ways = stage(way_node.join(nodes.select("region_id", F.col("id").alias("ref")), "ref").select("region_id", F.col("way_id").alias("id")).distinct(), "ways-inside")
 
     def all_nodes(of: DataFrame) -> DataFrame:
         return way_node.join(of.select("region_id", F.col("id").alias("way_id")), "way_id").select("region_id", F.col("ref").alias("id"))
@@ -294,12 +297,12 @@ def extract_regions(node: DataFrame, way_node: DataFrame, member: DataFrame, pol
     held = ways.select("region_id", F.lit("way").alias("type"), F.col("id").alias("ref")).union(nodes.select("region_id", F.lit("node"), "id"))
     relations = member.join(held, ["type", "ref"]).select("region_id", F.col("rel_id").alias("id")).distinct()
     if strategy != "simple":
-        from terrane.operators.entities import expand_relations
-
-        up = expand_relations(member).select(F.col("root").alias("_up"), F.col("rel_id").alias("id"))
-        relations = relations.join(up, "id").select("region_id", F.col("_up").alias("id")).distinct()
+        # From what was met upwards: a parent is entered once a region, whatever number of its children is in it.
+        up = member.where("type = 'relation'").select(F.col("ref").alias("_from"), F.col("rel_id").alias("_to"))
+        relations = reach(relations, up, "region_id")
     if strategy == "smart":
-        more = member.where("type = 'way'").join(relations.withColumnRenamed("id", "rel_id"), "rel_id").select("region_id", F.col("ref").alias("id"))
-        ways = ways.union(more).distinct()
-        nodes = nodes.union(all_nodes(ways)).distinct()
+        whole = relations if full is None else relations.join(full.select("id"), "id", "left_semi").select("region_id", "id")
+        more = stage(member.join(whole.withColumnRenamed("id", "rel_id"), "rel_id").where("type <> 'relation'").select("region_id", "type", F.col("ref").alias("id")).distinct(), "more-members")
+        ways = ways.union(more.where("type = 'way'").select("region_id", "id")).distinct()
+        nodes = nodes.union(more.where("type = 'node'").select("region_id", "id")).union(all_nodes(ways)).distinct()
     return {"node": nodes, "way": ways, "relation": relations}

@@ -277,6 +277,36 @@ def extracted_entities(spark, d):
     return E.union_all(*tables)
 
 
+_MERGED = """on_ AS (SELECT id, lon, lat FROM osm_node UNION ALL SELECT 5000000000 + id, lon + 0.0003, lat + 0.0003 FROM place),
+wn AS (SELECT way_id, ref FROM way_node WHERE way_id IN (SELECT id FROM way_info) UNION ALL SELECT 6000000000 + id, 5000000000 + id FROM place UNION ALL SELECT 6000000000 + id, 5000000000 + id + 1 FROM place WHERE id + 1 IN (SELECT id FROM place)),
+mm AS (SELECT rel_id, type, ref FROM member WHERE rel_id IN (SELECT id FROM rel_info) UNION ALL SELECT DISTINCT rel_id, 'node', rel_id * 7 % 1000 FROM member WHERE rel_id IN (SELECT id FROM rel_info))"""
+
+
+@query("osm_node", "way_node", "way_info", "member", "rel_info", "boundary_ring", "place", sql=f"""
+-- recursive
+WITH {_RECT}, {_MERGED}, n AS (SELECT b.id AS region_id, o.id FROM on_ o JOIN b ON o.lon >= x0 AND o.lon < x1 AND o.lat >= y0 AND o.lat < y1),
+w AS (SELECT DISTINCT n.region_id, wn.way_id AS id FROM n JOIN wn ON wn.ref = n.id), nn AS (SELECT region_id, id FROM n UNION SELECT w.region_id, wn.ref FROM w JOIN wn ON wn.way_id = w.id),
+r AS (SELECT DISTINCT w.region_id, m.rel_id AS id FROM w JOIN mm m ON m.type = 'way' AND m.ref = w.id UNION SELECT nn.region_id, m.rel_id FROM nn JOIN mm m ON m.type = 'node' AND m.ref = nn.id),
+u AS (SELECT region_id, id FROM r UNION SELECT u.region_id, m.rel_id FROM u JOIN mm m ON m.type = 'relation' AND m.ref = u.id),
+f AS (SELECT u.region_id, m.type, m.ref FROM u JOIN rel_info i ON u.id = i.id AND i.route = 'ski' JOIN mm m ON m.rel_id = u.id),
+w2 AS (SELECT region_id, id FROM w UNION SELECT region_id, ref FROM f WHERE type = 'way'), n2 AS (SELECT region_id, id FROM nn UNION SELECT region_id, ref FROM f WHERE type = 'node' UNION SELECT w2.region_id, wn.ref FROM w2 JOIN wn ON wn.way_id = w2.id)
+SELECT region_id, 'node' AS type, id FROM n2 WHERE id IN (SELECT id FROM on_) UNION ALL SELECT region_id, 'way', id FROM w2 WHERE id IN (SELECT way_id FROM wn) UNION ALL SELECT region_id, 'relation', id FROM u""")
+def extracted_smart(spark, d):
+    """Entities of each boundary after places are merged in as nodes and ways; ski relations are completed."""
+    e = entities(spark, d)
+    node = F.array(F.struct(F.lit("node").alias("type"), (F.col("id") * 7 % 1000).cast("bigint").alias("ref"), F.lit("").alias("role")))
+    kind = F.create_map(F.lit("type"), F.when(F.col("tags")["route"] == "ski", "multipolygon").otherwise("route"))
+    relation = e.relation.select("id", F.concat("members", node).alias("members"), F.map_concat("tags", kind).alias("tags"))
+    place = lens(spark, d, "place").select((5_000_000_000 + F.col("id")).cast("bigint").alias("id"), (F.col("lon") + 0.0003).alias("lon"), (F.col("lat") + 0.0003).alias("lat"))
+    none = F.create_map().cast("map<string,string>")
+    follow = place.select((F.col("id") - 1).alias("_before"))
+    refs = F.when(F.col("_before").isNotNull(), F.array(F.col("id"), F.col("id") + 1)).otherwise(F.array("id"))
+    way = place.join(follow, F.col("id") == F.col("_before"), "left").select((F.col("id") + 1_000_000_000).alias("id"), refs.alias("refs"), none.alias("tags"))
+    extra = E.Entities(place.withColumn("tags", none), way, relation.where("false"))
+    out = jobs.extract_and_merge(E.Entities(e.node, e.way, relation), boundary(spark, d), "smart", extra, ("multipolygon",))
+    return E.union_all(*(df.select("region_id", F.lit(k).alias("type"), "id") for k, df in out.items()))
+
+
 def _boundary_entities(spark: SparkSession, d: str) -> E.Entities:
     """The boundaries of the lens as country relations: a closed way each, of nodes of its own."""
     ring = lens(spark, d, "boundary_ring")
