@@ -17,7 +17,8 @@ def match_poi_rules(tags_long: DataFrame, rules: DataFrame, kind: str | None = N
     """
     r = rules if kind is None else rules.where(F.col("kind") == kind)
     rule_id = F.monotonically_increasing_id()
-    r = r.select("key", "value", "root", "sub", "filters").dropDuplicates(["key", "value", "root", "sub"])
+    # Rules that differ in their filters only are rules of their own: any of them may pass.
+    r = r.select("key", "value", "root", "sub", "filters")
     hit = tags_long.join(r, (F.col("k") == F.col("key")) & (F.col("v") == F.col("value"))).select("id", "root", "sub", "filters").withColumn("_r", rule_id)
     free = hit.where(F.coalesce(F.size("filters"), F.lit(0)) <= 0).select("id", "root", "sub")
     asked = hit.where(F.size("filters") > 0).select("id", "root", "sub", "_r", F.explode("filters").alias("fk", "fv"))
@@ -40,9 +41,9 @@ def eav(tags_long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return keys, values, rows.select(F.col("id").alias("poi_id"), "key_id", "value_id")
 
 
-def build_poi(points: DataFrame, tags_long: DataFrame, rules: DataFrame) -> dict[str, DataFrame]:
-    """The star: points, folders, keys, values and the bridges. ``points`` is ``id, lon, lat``."""
-    found = match_poi_rules(tags_long, rules)
+def build_poi(points: DataFrame, tags_long: DataFrame, rules: DataFrame, kind: str | None = None) -> dict[str, DataFrame]:
+    """The star: points, folders, keys, values and the bridges. ``points`` is ``id, lon, lat``; rules are those of ``kind``, if given."""
+    found = match_poi_rules(tags_long, rules, kind)
     ids = found.select("id").distinct()
     own = multi_values(tags_long.join(ids, "id", "left_semi").withColumn("k", F.lower("k")).where("v <> ''"))
     pick = lambda k: own.where(F.col("k") == k).select("id", F.col("v").alias(k.replace(":", "_")))

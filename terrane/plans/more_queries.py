@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
@@ -15,8 +17,11 @@ from terrane.operators import places as P
 from terrane.operators import spatial as S
 from terrane.operators import streets as ST
 from terrane.operators import tiles as TI
+from terrane.operators.shared import shared_dir
 from terrane.plans import jobs
-from terrane.plans.queries import _INSIDE, _NEAR, _POINTS, _SEG, _T, _TILES, _hav, _inside, _node_tiles, boundary, query, way_points
+from terrane.plans.queries import _INSIDE, _NEAR, _POINTS, _SEG, _T, _TILES, _hav, _inside, _node_tiles, _tags, boundary, query, way_points
+from terrane.schema import POI_RULE
+from terrane.streaming.jobs import merge_batch, snapshot, stream_usage
 
 
 @query("house", sql="""
@@ -279,3 +284,44 @@ def united_boundaries(spark, d):
     out = P.collect_parts(box, "k").withColumn("b", G.geom_bbox(F.col("geom")))
     area = F.aggregate("geom", F.lit(0.0), lambda a, p: a + G.ring_area(p["outer"]) - F.aggregate(p["holes"], F.lit(0.0), lambda h, r: h + G.ring_area(r)))
     return out.select("k", F.round(area, 9).alias("area"), *(F.col(f"b.{c}").alias(n) for c, n in (("min_lon", "west"), ("max_lon", "east"), ("min_lat", "south"), ("max_lat", "north"))))
+
+
+# Batches
+
+
+@query("change_feed", sql="""
+SELECT id, version, action FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS k FROM change_feed) WHERE k = 1 AND action <> 'delete'""")
+def snapshot_by_batches(spark, d):
+    """The change feed in three batches, of which the second comes late, each brought into the buckets that it touches."""
+    feed = lens(spark, d, "change_feed").withColumn("type", F.lit("node"))
+    path = f"{shared_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    for n, part in enumerate((0, 2, 1)):
+        merge_batch(feed.where(F.col("version") % 3 == part), n, path, buckets=16)
+    return snapshot(spark, path).select("id", "version", "action")
+
+
+@query(sql="SELECT CAST(ts AS DATE) AS date, event_type AS item, count(*) AS n FROM events GROUP BY 1, 2")
+def usage_by_day(spark, d):
+    """The streaming job's plan over the table as one batch."""
+    return stream_usage(spark.read.parquet(f"{d}/events.parquet"))
+
+
+@query("osm_node", "poi_tag_long", sql="""
+WITH t AS (SELECT id, min(CASE WHEN k = 'brand' THEN v END) AS brand, min(CASE WHEN k = 'name' THEN v END) AS name, max(CASE WHEN k = 'phone' THEN 1 ELSE 0 END) AS phone FROM poi_tag_long GROUP BY id)
+SELECT id, 'node' AS entity, name, round(lon, 9) AS lon, round(lat, 9) AS lat FROM osm_node JOIN t USING (id) WHERE id % 2 = 0 AND (phone = 1 OR id % 5 = 0)
+UNION ALL SELECT id, 'way', concat('way ', name), round(lon + 0.0005, 9), round(lat, 9) FROM osm_node JOIN t USING (id) WHERE id % 3 = 0 AND (phone = 1 OR id % 5 = 0)""")
+def poi_of_nodes_and_ways(spark, d):
+    """Nodes and ways of the same ids in one star, by two rules that differ in their filters only."""
+    node = lens(spark, d, "osm_node")
+    t = lens(spark, d, "poi_tag_long").groupBy("id").agg(F.min(F.when(F.col("k") == "name", F.col("v"))).alias("name"), F.max(F.when(F.col("k") == "phone", 1).otherwise(0)).alias("phone"))
+    both = node.join(t, "id")
+    marked = both.withColumns({"shop": F.lit("any"), "phone": F.when(F.col("phone") == 1, "1"), "open": F.when(F.col("id") % 5 == 0, "yes"), "way_name": F.concat(F.lit("way "), "name")})
+    keys = {"shop": "shop", "phone": "phone", "open": "open"}
+    own = marked.where("id % 2 = 0").select("id", "lon", "lat", _tags(name="name", **keys).alias("tags"))
+    bare = F.create_map().cast("map<string,string>")
+    ends = [both.where("id % 3 = 0").select((F.lit(k * 1_000_000_000) + F.col("id")).alias("id"), (F.col("lon") + x).alias("lon"), "lat", bare.alias("tags")) for k, x in ((1, 0.0), (2, 0.001))]
+    way = marked.where("id % 3 = 0").select("id", F.array(F.lit(1_000_000_000) + F.col("id"), F.lit(2_000_000_000) + F.col("id")).alias("refs"), _tags(name="way_name", **keys).alias("tags"))
+    rule = [("point", "shop", "any", "R", "s", {"phone": ["*"]}), ("point", "shop", "any", "R", "s", {"open": ["yes"]}), ("way", "shop", "any", "R", "never", {})]
+    none = spark.createDataFrame([], "id bigint, members array<struct<type:string,ref:bigint,role:string>>, tags map<string,string>")
+    star = jobs.build_poi(E.Entities(E.union_all(own, *ends), way, none), spark.createDataFrame(rule, POI_RULE))
+    return star["point"].select("id", "entity", "name", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))

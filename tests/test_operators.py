@@ -244,6 +244,9 @@ def test_poi_filters(spark):
     rules = spark.createDataFrame([("point", "amenity", "pub", "R", "quiet", {"phone": ["~"]}), ("point", "amenity", "pub", "R", "any", {}), ("way", "amenity", "bar", "R", "b", {"phone": ["9", "*"]}), ("way", "amenity", "bar", "R", "c", {"phone": ["9"]})], "kind string, key string, value string, root string, sub string, filters map<string,array<string>>")
     assert {(r.id, r.sub) for r in O.match_poi_rules(tags, rules).collect()} == {(1, "quiet"), (1, "any"), (2, "any"), (3, "b")}
     assert {(r.id, r.sub) for r in O.match_poi_rules(tags, rules, "way").collect()} == {(3, "b")}
+    # Rules that differ in their filters only are all kept.
+    two = spark.createDataFrame([("point", "amenity", "pub", "R", "s", {"phone": ["7"]}), ("point", "amenity", "pub", "R", "s", {"phone": ["1"]})], rules.schema)
+    assert [r.id for r in O.match_poi_rules(tags, two).collect()] == [2]
 
 
 def test_compaction_expands_to_the_same_tiles(spark):
@@ -311,6 +314,27 @@ def test_streams_match_the_batch(spark, tmp_path):
     assert spark.table("usage").exceptAll(batch).count() == 0 and spark.table("usage").count() == batch.count()
 
 
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    path = f"file:{tmp_path}/snap"
+    cols = "type string, id long, version long, action string, ts timestamp_ntz, note string"
+    row = lambda i, v, action="modify": ("node", i, v, action, None, f"{i}/{v}")
+    batches = [[row(i, 1) for i in range(200)], [row(5, 3), row(6, 2, "delete")], [row(5, 2), row(6, 1)], [row(999, 1)], []]
+    seen, written = [], []
+    for n, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, cols)
+        jobs.merge_batch(batch, n, path, buckets=32)
+        jobs.merge_batch(batch, n, path, buckets=32)  # run again: the same
+        seen += rows
+        want = E.latest(spark.createDataFrame(seen, cols)).where("action <> 'delete'")
+        got = jobs.snapshot(spark, path)
+        assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+        written.append(len(list((tmp_path / "snap" / "data" / f"batch={n}").glob("bucket=*"))))
+    assert written[0] > 25 and written[1:] == [2, 2, 1, 0]
+    # What was replaced two batches ago is gone.
+    left = sum(len(list((tmp_path / "snap" / "data" / f"batch={n}").glob("bucket=*"))) for n in range(5))
+    assert left <= len(list((tmp_path / "snap" / "data" / "batch=0").glob("bucket=*"))) + 5
+
+
 def test_upsert_keeps_and_adds(spark):
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "region_id long, name string")
     batch = spark.createDataFrame([(2, "B"), (3, "c"), (1, None)], "region_id long, name string")
