@@ -179,6 +179,15 @@ def line_distance_m(lon: Column, lat: Column, coords: Column) -> Column:
     return F.coalesce(F.array_min(ends), haversine_m(lon, lat, F.get(coords, F.lit(0))["lon"], F.get(coords, F.lit(0))["lat"]))
 
 
+def _side(a: Column, b: Column, c: Column) -> Column:
+    return F.signum((b["lon"] - a["lon"]) * (c["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (c["lon"] - a["lon"]))
+
+
+def segments_meet(s: Column, e: Column) -> Column:
+    """Whether two segments ``a, b`` cross or touch; not if they lie in one line."""
+    return (_side(s["a"], s["b"], e["a"]) != _side(s["a"], s["b"], e["b"])) & (_side(e["a"], e["b"], s["a"]) != _side(e["a"], e["b"], s["b"]))
+
+
 def geom_to_geojson(geom: Column) -> Column:
     """A multi-polygon as GeoJSON text."""
     pair = lambda p: F.array(p["lon"], p["lat"])

@@ -29,8 +29,6 @@ def tile_cover(polygons: DataFrame, max_zoom: int) -> DataFrame:
 
 
 def _meets(z: int):
-    from terrane.operators.spatial import _cross
-
     w, e = X.tile_lon(F.col("x"), z), X.tile_lon(F.col("x") + 1, z)
     n, s = X.tile_lat(F.col("y"), z), X.tile_lat(F.col("y") + 1, z)
     box = G.geom_bbox(F.col("geom"))
@@ -39,7 +37,7 @@ def _meets(z: int):
     corner = F.exists(rect, lambda p: G.in_geom(p["lon"], p["lat"], F.col("geom")))
     vertex = F.exists(F.flatten(F.transform("geom", lambda p: p["outer"])), lambda p: p["lon"].between(w, e) & p["lat"].between(s, n))
     rings = F.flatten(F.transform("geom", lambda p: F.concat(F.array(p["outer"]), F.coalesce(p["holes"], F.array().cast("array<array<struct<lon:double,lat:double>>>")))))
-    cross = F.exists(rings, lambda r: F.exists(G.segments(r), lambda a: F.exists(G.segments(rect), lambda b: _cross(a, b))))
+    cross = F.exists(rings, lambda r: F.exists(G.segments(r), lambda a: F.exists(G.segments(rect), lambda b: G.segments_meet(a, b))))
     return near & (corner | vertex | cross)
 
 
