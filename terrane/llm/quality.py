@@ -4,14 +4,16 @@ Every rule is a boolean column that is true for a document to reject. The order
 of the rules decides only how much work is done and which rule is named as the
 first to reject; the verdict is the same for any order. The order comes from a
 bounded sample of the rows that reach the cascade, which are those that the base
-does not fail: each rule's rejection rate and its seconds are measured there, and
-the rules with the most rejections per second go first. What the report needs of
-every row (words, symbols, repeated lines and windows) is computed for every row;
-a rule costs what it takes beyond that, and that is what the cascade saves.
+does not fail: each rule's rejections and its cost are estimated there in one
+pass, and the rules with the most rejections for their cost go first. What the
+report needs of every row (words, symbols, repeated lines and windows) is computed
+for every row; a rule's cost is what it reads beyond that, in characters, and that
+is what the cascade saves. A cost of characters, unlike one of seconds, is the same
+in every run, so reruns name the same rules.
 
 Defined results
     null text            counts as the empty text: no words, base fails
-    empty table          no rows; the rules keep their given order
+    empty table          no rows; the rules go by name
     repeated rows        each row is judged on its own
     ties                 rules of equal worth go by name
     very long texts      one pass, work grows with n log n of the words
@@ -20,14 +22,14 @@ Defined results
 
 from __future__ import annotations
 
-import time
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import BLANKS, let, stage, unstage, words
+from terrane.llm.common import BLANKS, let, words
 
 
 SYMBOL = r"[#*$%&|<>]"
@@ -40,11 +42,17 @@ class Rule:
     rejects: str
     #: The same condition for another engine, where it reads differently.
     other_sql: str = ""
+    #: The characters that the rule reads of a row, as a Spark SQL expression; where it is not given, the whole text each time that it is named.
+    cost: str = ""
 
     @property
     def sql(self) -> str:
         return self.other_sql or self.rejects
 
+    @property
+    def work(self) -> str:
+        return self.cost or f"1 + {len(re.findall(r'\b_text\b', self.rejects))} * length(_text)"
+
 
 #: Rules for prose, loose on purpose: they name junk, and leave unusual prose alone.
 DEFAULT_RULES = (
@@ -102,32 +110,14 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def measure_rules(features: DataFrame, rules: Sequence[Rule], sample_rows: int = 1000, seed: int = 17, repeats: int = 10) -> list[dict]:
-    """Each rule's rejection rate and seconds over a sample of about ``sample_rows`` rows, most rejections per second first.
-
-    A rule is applied ``repeats`` times to each row, for more time than a job takes by itself, and the lesser of two runs counts.
-    """
-    total = features.count()
-    if not total or not rules:
-        return [{"name": r.name, "rejects": 0.0, "seconds": 0.0} for r in rules]
-    sample = stage(features.sample(False, min(1.0, sample_rows / total), seed), "quality-sample")
-    many = sample.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-
-    def run(*columns: Column) -> tuple[int, float]:
-        times = []
-        for _ in range(2):
-            began = time.perf_counter()
-            n = many.agg(*columns).first()[0]
-            times.append(time.perf_counter() - began)
-        return n, min(times)
-
-    n, idle = run(F.count("_text"))
-    out = []
-    for rule in rules:
-        hits, seconds = run(F.count_if(F.expr(rule.rejects)))
-        out.append({"name": rule.name, "rejects": hits / max(n, 1), "seconds": max(seconds - idle, 1e-3) / repeats})
-    unstage(sample)
-    return sorted(out, key=lambda x: (-x["rejects"] / x["seconds"], x["name"]))
+def measure_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[dict]:
+    """Each rule's rejection rate and mean cost over the features of a sample, by one aggregate; most rejections for their cost first."""
+    if not rules:
+        return []
+    counts = [F.count_if(F.expr(r.rejects)) for r in rules] + [F.coalesce(F.sum(F.expr(r.work).cast("long")), F.lit(0)) for r in rules]
+    n, *found = sample.agg(F.count(F.lit(1)), *counts).first()
+    out = [{"name": r.name, "rejects": hits / max(n, 1), "cost": work / max(n, 1)} for r, hits, work in zip(rules, found, found[len(rules) :], strict=False)]
+    return sorted(out, key=lambda x: (-x["rejects"] / max(x["cost"], 1e-9), x["name"]))
 
 
 def cascade(features: DataFrame, rules: Sequence[Rule], order: list[str]) -> DataFrame:
@@ -151,14 +141,13 @@ def quality_rules(
 ) -> DataFrame:
     """One row per document: the counts, ``base_failed``, ``rejected_by`` and ``kept``.
 
-    ``sample_rows`` bounds the sample that orders the rules; it never changes a verdict.
+    About ``sample_rows`` documents are drawn to order the rules; the sample never changes a verdict.
     """
-    # The rules are measured on the texts of the sample alone: features are computed for its rows only.
+    # Features are computed for the rows of the sample only, and the sample is read once.
     bare = docs.select(F.col(id_col), F.col(text_col))
     total = bare.count()
-    picked = bare.sample(False, min(1.0, 4 * sample_rows / total), 17) if total else bare
-    reaching = text_features(picked, id_col, text_col).where(~base_failed())
-    order = [x["name"] for x in measure_rules(reaching, rules, sample_rows)]
+    picked = bare.sample(False, min(1.0, sample_rows / total), 17) if total else bare
+    order = [x["name"] for x in measure_rules(text_features(picked, id_col, text_col).where(~base_failed()), rules)]
     out = cascade(text_features(bare, id_col, text_col).withColumn("base_failed", base_failed()), rules, order)
     out = out.withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(F.col("rejected_by")))
     return out.withColumn("kept", F.col("rejected_by").isNull()).drop("_text", "n_lines")

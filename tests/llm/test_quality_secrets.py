@@ -135,3 +135,27 @@ def test_native_plans_have_no_python(spark):
     for out in (quality.quality_rules(df), secrets.scan_secrets(df, "source", "lang")):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_order_weighs_rejections_by_cost_and_is_the_same_in_every_run(spark):
+    df = quality.text_features(docs(spark, [(i, "w%d %s x " % (i, "#" if i % 4 else "9") * 40, "s", "en", 1) for i in range(40)]))
+    rules = [
+        quality.Rule("costly", "regexp_count(_text, 'w') > 0"),
+        quality.Rule("cheap", "n_symbols > 0"),
+        quality.Rule("twice", "length(_text) > 0 OR regexp_count(_text, 'x') > 0"),
+        quality.Rule("stated", "regexp_count(_text, 'w') > 0", cost="2"),
+        quality.Rule("none", "n_symbols < 0"),
+    ]
+    found = quality.measure_rules(df, rules)
+    # All rows for 2 characters, three quarters for 1, all for one text, all for two, none.
+    assert [x["name"] for x in found] == ["cheap", "stated", "costly", "twice", "none"]
+    assert found == quality.measure_rules(df.repartition(5), rules)
+    assert [x["rejects"] for x in found] == [0.75, 1.0, 1.0, 1.0, 0.0]
+    named = [{(r.doc_id, r.rejected_by) for r in quality.quality_rules(docs(spark, [(i, " ".join(f"#{i}w{k}" for k in range(60)), "s", "en", 1) for i in range(30)])).collect()} for _ in range(2)]
+    assert named[0] == named[1] and {x for _, x in named[0]} == {"symbols"}
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    text = " ".join(f"w{i}" for i in range(60_000)) + "\n" + "dup line here\n" * 20_000
+    (r,) = quality.quality_rules(docs(spark, [(1, text, "s", "en", 1)])).collect()
+    assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == features(text)
