@@ -508,3 +508,28 @@ def test_variants_of_one_passage_are_one_class_and_copies_cost_no_pairs(spark):
     assert set(got) == {*range(300), *range(1000, 1500), 2000}
     assert {x.class_id for x in got.values()} == {0}
     assert all(got[i].n_dup_words == 180 for i in range(1000, 1500))
+
+
+def test_texts_are_compared_again_only_where_they_meet_anew(spark):
+    at = lambda p: p << passages._P
+
+    def meetings(rows):
+        return spark.createDataFrame(rows, "a long, b long, f int, met array<struct<pa:long,pb:long>>")
+
+    first = passages._candidates(meetings([(9, 1, 3, [(at(100), at(40))]), (1, 8, 3, [(at(5), at(300))]), (7, 2, 1, [(at(0), at(0))])]), 2, 46, [])
+    assert sorted((r.a, r.b, r.at_a, r.at_b) for r in first.collect()) == [(8, 1, [at(300)], [at(5)]), (9, 1, [at(100)], [at(40)])]
+    again = [
+        (1, 9, 3, [(at(42), at(102))]),  # the same diagonal and stretch, stated the other way round
+        (8, 1, 3, [(at(301), at(5))]),  # the diagonal beside it
+        (6, 1, 3, [(at(100), at(40))]),  # a pair that is new
+    ]
+    assert sorted((r.a, r.b) for r in passages._candidates(meetings(again), 2, 46, [first]).collect()) == [(6, 1), (8, 1)]
+    further = passages._candidates(meetings([(9, 1, 3, [(at(100), at(40)), (at(400), at(340))])]), 2, 46, [first, first])
+    assert [(r.a, r.b, len(r.at_a)) for r in further.collect()] == [(9, 1, 2)]
+
+
+def test_empty_and_single_texts_have_no_passages(spark):
+    kind = "doc_id long, text string"
+    one = " ".join(f"w{i}" for i in range(80))
+    for rows in ([], [(1, one)], [(1, None), (None, one), (2, ""), (3, "a b")]):
+        assert passages.passage_classes(spark.createDataFrame(rows, kind)).collect() == []
