@@ -1,4 +1,4 @@
-"""Residential areas by a grid dissolve, and geometries written back as entities."""
+"""Residential areas by a dissolve on a grid, and geometries written back as entities."""
 
 from __future__ import annotations
 
@@ -6,75 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
+from terrane.operators import runs as R
 from terrane.operators.entities import with_seq
-from terrane.operators.shared import components, stage
+from terrane.operators.shared import stage
 
 
-def _cells(df: DataFrame, box, cell_m: float, lat0: float) -> DataFrame:
-    """Each row with the cells ``cx, cy`` of a metric grid at latitude ``lat0`` that its envelope meets."""
-    import math
-
-    dy = math.degrees(cell_m / G.EARTH_RADIUS)
-    dx = dy / math.cos(math.radians(lat0))
-    b = df.withColumn("_b", box)
-    b = b.withColumn("cx", F.explode(F.sequence(F.floor(F.col("_b.min_lon") / dx), F.floor(F.col("_b.max_lon") / dx))))
-    return b.withColumn("cy", F.explode(F.sequence(F.floor(F.col("_b.min_lat") / dy), F.floor(F.col("_b.max_lat") / dy)))).withColumn("lon", (F.col("cx") + 0.5) * dx).withColumn("lat", (F.col("cy") + 0.5) * dy)
-
-
-def _spread(cells: DataFrame, axis: str, by: int) -> DataFrame:
-    """Each cell and its neighbours within ``by`` along one axis."""
-    return cells.withColumn("_d", F.explode(F.sequence(F.lit(-by), F.lit(by)))).withColumn(axis, F.col(axis) + F.col("_d")).select("cx", "cy")
-
-
-def _grow(cells: DataFrame, by: int) -> DataFrame:
-    return _spread(_spread(cells, "cx", by).distinct(), "cy", by).distinct()
-
-
-def _shrink(cells: DataFrame, by: int) -> DataFrame:
-    """Cells all of whose neighbours within ``by`` are there: each cell adds one to all of them, along x and then y."""
-    full = lambda df: df.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 2 * by + 1).select("cx", "cy")
-    return full(_spread(full(_spread(cells, "cx", by)), "cy", by))
-
-
-def _joined(cells: DataFrame) -> DataFrame:
-    """``cx, cy, area``: cells that touch along a side are one area, named by the packed number of its least cell."""
-    key = lambda x, y: F.shiftleft((x + (1 << 30)).cast("bigint"), 32) + (y + (1 << 30)).cast("bigint")
-    own = cells.select("cx", "cy", key(F.col("cx"), F.col("cy")).alias("k"))
-    right = own.select((F.col("cx") - 1).alias("cx"), "cy", F.col("k").alias("k2"))
-    above = own.select("cx", (F.col("cy") - 1).alias("cy"), F.col("k").alias("k2"))
-    edges = own.join(right, ["cx", "cy"]).select("k", "k2").union(own.join(above, ["cx", "cy"]).select("k", "k2"))
-    named = components(edges, "k", "k2")
-    return own.join(named, own.k == named.node, "left").select("cx", "cy", F.coalesce("component", "k").alias("area"))
-
-
-def residential_areas(
-    landuse: DataFrame, buildings: DataFrame, cell_m: float = 10.0, lat0: float = 50.0, house_m: float = 30.0, gap_m: float = 30.0, least_m: float = 90.0, hole_m: float = 500.0, city_m: float = 1500.0
-) -> tuple[DataFrame, DataFrame]:
-    """Areas ``area, n_cells, area_m2, class`` and their cells ``area, cx, cy``.
+def residential_areas(landuse: DataFrame, buildings: DataFrame, cell_m: float = 10.0, house_m: float = 30.0, gap_m: float = 30.0, least_m: float = 90.0, hole_m: float = 500.0, city_m: float = 1500.0) -> tuple[DataFrame, DataFrame]:
+    """Areas ``area, n_cells, area_m2, class`` and the runs of cells that they are made of, ``area, cy, x0, x1``.
 
     Landuse polygons (``id, geom``) and squares round buildings outside them (``id, lon, lat``) are covered with cells;
     gaps up to ``gap_m`` are closed by growing and shrinking, areas under ``least_m`` squared dropped, holes under
-    ``hole_m`` squared filled, and areas over ``city_m`` squared are of class city, others village. This differs from a
-    polygon union in the detail of the outline, not in the class. A hole is an area of empty cells that is smaller than
-    the bound and does not reach the rim of the covered cells.
+    ``hole_m`` squared filled, and areas over ``city_m`` squared are of class city, others village. Metres are metres at
+    any latitude. This differs from a polygon union in the detail of the outline, not in the class.
     """
-    land = _cells(landuse, G.geom_bbox(F.col("geom")), cell_m, lat0).where(G.in_geom(F.col("lon"), F.col("lat"), F.col("geom"))).select("cx", "cy")
-    d = G.m_to_dlon_dlat(F.col("lat"), F.lit(house_m))
-    box = F.struct((F.col("lon") - d["dlon"]).alias("min_lon"), (F.col("lat") - d["dlat"]).alias("min_lat"), (F.col("lon") + d["dlon"]).alias("max_lon"), (F.col("lat") + d["dlat"]).alias("max_lat"))
-    built = _cells(buildings.select("id", "lon", "lat"), box, cell_m, lat0).select("cx", "cy")
-    by = max(1, round(gap_m / cell_m / 2))
-    solid = stage(_shrink(_grow(land.union(built).distinct(), by), by), "solid")
-    # Empty cells next to solid ones, grown over the widest hole: what joins up beyond the bound is the outside.
-    reach = max(1, round(hole_m / cell_m))
-    rim = _grow(solid, 1).join(solid, ["cx", "cy"], "left_anti")
-    empty = stage(_grow(rim, reach // 2).join(solid, ["cx", "cy"], "left_anti"), "empty")
-    holes = _joined(empty)
-    small = holes.groupBy("area").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * cell_m * cell_m < hole_m * hole_m).select("area")
-    filled = solid.union(holes.join(small, "area", "left_semi").select("cx", "cy")).distinct()
-    cells = stage(_joined(filled), "areas")
-    sizes = cells.groupBy("area").agg(F.count(F.lit(1)).alias("n_cells")).withColumn("area_m2", F.col("n_cells") * cell_m * cell_m)
+    cover = R.merged(R.polygon_runs(landuse, cell_m).union(R.square_runs(buildings, house_m, cell_m)))
+    solid = stage(R.closed(cover, gap_m, cell_m), "solid")
+    filled = stage(R.merged(solid.union(R.small_holes(solid, hole_m, cell_m))), "filled")
+    runs = stage(R.joined(filled), "areas")
+    n = F.col("x1") - F.col("x0") + 1
+    sizes = runs.groupBy("area").agg(F.sum(n).alias("n_cells"), F.sum(n * cell_m * cell_m * R.shrinkage(cell_m)).alias("area_m2"))
     kept = sizes.where(F.col("area_m2") > least_m * least_m).withColumn("class", F.when(F.col("area_m2") > city_m * city_m, "city").otherwise("village"))
-    return kept, cells.join(kept.select("area"), "area", "left_semi")
+    return kept, runs.join(kept.select("area"), "area", "left_semi")
 
 
 def geometry_to_entities(geoms: DataFrame, node_base: int = 1_001_000_000_000_000, way_base: int = 1_002_000_000_000_000, relation_base: int = 1_003_000_000_000_000) -> dict[str, DataFrame]:
