@@ -14,6 +14,7 @@ from terrane.operators import entities as E
 from terrane.operators import houses as H
 from terrane.operators import kernels as K
 from terrane.operators import places as P
+from terrane.operators import runs as R
 from terrane.operators import spatial as S
 from terrane.operators import streets as ST
 from terrane.operators import tiles as TI
@@ -200,7 +201,7 @@ def house_hulls(spark, d):
 
 @query("boundary_ring", "osm_node")
 def residential_cells(spark, d):
-    return A.residential_areas(boundary(spark, d).where("admin_level = 6"), lens(spark, d, "osm_node"))[0]
+    return A.residential_areas(boundary(spark, d), lens(spark, d, "osm_node"))[0]
 
 
 @query("house", "osm_node", "way_node", sql=f"WITH {_NEAR} SELECT DISTINCT line_id FROM nn WHERE k = 1 AND dist <= 100")
@@ -257,6 +258,43 @@ def nodes_in_shapes(spark, d):
     return S.points_in_polygons(lens(spark, d, "osm_node"), shapes(spark, d))
 
 
+_CELL = f"degrees(10.0 / {G.EARTH_RADIUS!r})"
+_SIDE = f"CAST(greatest(1, round(1.5 / cos(radians((cy + 0.5) * {_CELL})))) AS BIGINT)"
+
+
+@query("osm_node", "shape_ring", sql=f"""
+WITH {_SHAPE}, q AS (SELECT id, part, ex, ey, fx, fy, unnest(range(CAST(ceil(least(ey, fy) / {_CELL} - 0.5) AS BIGINT), CAST(ceil(greatest(ey, fy) / {_CELL} - 0.5) AS BIGINT))) AS cy FROM e),
+x AS (SELECT id, part, cy, (ex + (fx - ex) * ((cy + 0.5) * {_CELL} - ey) / (fy - ey)) / {_CELL} - 0.5 AS x FROM q),
+o AS (SELECT *, row_number() OVER w AS k, lead(x) OVER w AS x2 FROM x WINDOW w AS (PARTITION BY id, part, cy ORDER BY x)),
+land AS (SELECT cy, unnest(range(CAST(ceil(x) AS BIGINT), CAST(ceil(x2) AS BIGINT))) AS cx FROM o WHERE k % 2 = 1),
+h AS (SELECT lon, lat, degrees(30.0 / {G.EARTH_RADIUS!r}) AS dy, degrees(30.0 / {G.EARTH_RADIUS!r}) / cos(radians(lat)) AS dx FROM osm_node),
+sq AS (SELECT unnest(range(CAST(floor((lon - dx) / {_CELL}) AS BIGINT), CAST(floor((lon + dx) / {_CELL}) AS BIGINT) + 1)) AS cx, lat, dy FROM h),
+built AS (SELECT cx, unnest(range(CAST(floor((lat - dy) / {_CELL}) AS BIGINT), CAST(floor((lat + dy) / {_CELL}) AS BIGINT) + 1)) AS cy FROM sq),
+c AS (SELECT cx, cy FROM land UNION SELECT cx, cy FROM built),
+gx AS (SELECT DISTINCT cx + unnest(range(-{_SIDE}, {_SIDE} + 1)) AS cx, cy FROM c), g AS (SELECT DISTINCT cx, cy + unnest(range(-2, 3)) AS cy FROM gx),
+lo AS (SELECT cx, cy FROM (SELECT cx, cy + unnest(range(-2, 3)) AS cy FROM g) GROUP BY cx, cy HAVING count(*) = 5),
+s AS (SELECT cx, cy FROM (SELECT cx + unnest(range(-{_SIDE}, {_SIDE} + 1)) AS cx, cy FROM lo) GROUP BY cx, cy HAVING count(*) = 2 * {_SIDE} + 1)
+SELECT cy, min(cx) AS first, max(cx) AS last, CAST(count(*) AS BIGINT) AS n, CAST(sum(cx) AS BIGINT) AS total FROM s GROUP BY cy""")
+def residential_cover(spark, d):
+    """Row by row the cells of slanted shapes with holes and of squares round all nodes, after gaps are closed."""
+    cover = R.merged(R.polygon_runs(shapes(spark, d), 10.0).union(R.square_runs(lens(spark, d, "osm_node"), 30.0, 10.0)))
+    n = F.col("x1") - F.col("x0") + 1
+    total = F.sum(F.expr("(x0 + x1) * (x1 - x0 + 1) div 2"))
+    return R.closed(cover, 30.0, 10.0).groupBy("cy").agg(F.min("x0").alias("first"), F.max("x1").alias("last"), F.sum(n).alias("n"), total.alias("total"))
+
+
+@query("osm_node", "shape_ring")
+def residential_outlines(spark, d):
+    """Residential areas of the shapes and nodes, with the corners, holes and inside of their outlines."""
+    sizes, runs = A.residential_areas(shapes(spark, d), lens(spark, d, "osm_node"))
+    p = R.outlines(runs, 10.0).select("area", F.explode("geom").alias("p"))
+    corners = F.aggregate("p.holes", F.size("p.outer") - 1, lambda n, h: n + F.size(h) - 1)
+    inside = G.ring_area(F.col("p.outer")) - F.aggregate("p.holes", F.lit(0.0), lambda a, h: a + G.ring_area(h))
+    cells = F.round(F.sum(inside) / R.cell_degrees(10.0) ** 2).cast("bigint")
+    shaped = p.groupBy("area").agg(F.sum(corners).alias("n_corners"), F.sum(F.size("p.holes")).alias("n_holes"), cells.alias("n_cells_inside"))
+    return sizes.join(shaped, "area").select("area", "class", "n_cells", "n_corners", "n_holes", "n_cells_inside")
+
+
 @query("osm_node", "way_node", "shape_ring", sql=f"""
 WITH {_POINTS}, {_SHAPE}, s AS (SELECT * FROM (SELECT way_id, lon AS px, lat AS py, lead(lon) OVER (PARTITION BY way_id ORDER BY seq) AS qx, lead(lat) OVER (PARTITION BY way_id ORDER BY seq) AS qy FROM wp) WHERE qx IS NOT NULL),
 c AS (SELECT n.id, e.id AS poly_id, part, count(*) AS k FROM osm_node n JOIN e ON {_IN_SHAPE.format(p="n")} GROUP BY n.id, e.id, part)

@@ -74,12 +74,13 @@ def test_areas_are_those_of_a_plain_grid(spark, lat):
     rng = np.random.default_rng(int(lat) + 100)
     narrow = math.cos(math.radians(lat))
     land = []
-    for _ in range(40):
-        w, s = rng.uniform(0, 60, 2).tolist()
+    for _ in range(30):
+        w, s = rng.uniform(0, 90, 2).tolist()
         a, b, slant = *rng.uniform(1, 16, 2).tolist(), float(rng.uniform(-3, 3))
         at = lambda x, y: (14.0 + x * D / narrow, lat + y * D)
         outer = [at(w, s), at(w + a, s + slant), at(w + a + slant, s + b + slant), at(w - slant, s + b), at(w, s)]
         land.append((outer, [[at(w + a * f, s + b * g) for f, g in ((0.3, 0.3), (0.7, 0.3), (0.7, 0.7), (0.3, 0.7), (0.3, 0.3))]] if a > 8 and b > 8 else []))
+    land.append(([at(x, y) for x, y in ((100, 0), (130, 2), (128, 30), (99, 28), (100, 0))], [[at(x, y) for x, y in ((105, 6), (120, 8), (119, 20), (105, 6))]]))
     options = dict(gap_m=60.0, least_m=90.0, hole_m=120.0)
     df = spark.createDataFrame([(i, [p]) for i, p in enumerate(land)], f"id long, geom array<{POLYGON}>")
     areas, runs = A.residential_areas(df, spark.createDataFrame([], "id long, lon double, lat double"), CELL, **options)
@@ -102,7 +103,7 @@ def test_areas_are_those_of_a_plain_grid(spark, lat):
 def test_class_depends_on_metres_at_any_latitude(spark):
     found = {}
     for lat in (0.0, 50.0, 65.0):
-        dy = math.degrees(1 / 6_371_000.0)
+        dy = R.cell_degrees(1.0)
         dx = dy / math.cos(math.radians(lat))
         box = lambda x, y, w, h, dx=dx, dy=dy, lat=lat: ([(14 + i * dx, lat + j * dy) for i, j in ((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))], [])
         # A city, a village, a plot too small, and two halves 20 m apart.
