@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrane.functions import geo as G
 from terrane.operators import kernels as K
 from terrane.operators.entities import with_seq
 from terrane.operators.shared import stage
@@ -37,26 +38,86 @@ def union_polygons(polygons: DataFrame, key: str) -> DataFrame:
     parts = stage(with_seq(parts.withColumn("_o", F.xxhash64("geom")), ["_key", "_o"], 0, "id").drop("_o"), "parts")
     edge = polygon_edges(parts).where("ax <> bx OR ay <> by").selectExpr("poly_id", "e", "ax", "ay", "bx", "by").join(parts.selectExpr("id AS poly_id", "_key"), "poly_id")
     # An edge that two polygons share counts once, whatever its direction.
-    turned = "ax > bx OR (ax = bx AND ay > by)"
-    edge = edge.selectExpr("_key", *(f"CASE WHEN {turned} THEN {b} ELSE {a} END AS {a}" for a, b in (("ax", "bx"), ("ay", "by"), ("bx", "ax"), ("by", "ay")))).distinct()
+    edge = _once(edge, [])
     edge = stage(with_seq(edge, ["_key", "ax", "ay", "bx", "by"], 0, "id"), "union-edges")
     piece = stage(_cut(edge), "union-pieces")
     inside = _sides(piece, parts)
     rings = piece.join(inside, "id").where("left_in <> right_in")
     # The union is to the left of every piece.
     rings = rings.selectExpr("_key", *(f"CASE WHEN left_in THEN {a} ELSE {b} END AS {a}" for a, b in (("ax", "bx"), ("ay", "by"), ("bx", "ax"), ("by", "ay"))))
-    kind = dict(parts.dtypes)["_key"]
+    return _chained(rings, dict(parts.dtypes)["_key"]).withColumnRenamed("_key", key)
+
+
+def _chained(edges: DataFrame, kind: str) -> DataFrame:
+    """``_key, geom``: the polygons of directed edges with the area to their left."""
 
     def chain(group: pd.DataFrame) -> pd.DataFrame:
         geom = [{"outer": K.points_of([o])[0], "holes": K.points_of(h)} for o, h in assemble(trace(group[["ax", "ay", "bx", "by"]].to_numpy()))]
         return pd.DataFrame({"_key": [group["_key"].iloc[0]], "geom": [geom]}) if geom else pd.DataFrame({"_key": group["_key"].iloc[:0], "geom": pd.Series([], dtype=object)})
 
-    out = rings.groupBy("_key").applyInPandas(chain, f"_key {kind}, geom array<struct<outer:{K.LINE},holes:array<{K.LINE}>>>")
-    return out.withColumnRenamed("_key", key)
+    return edges.groupBy("_key").applyInPandas(chain, f"_key {kind}, geom array<struct<outer:{K.LINE},holes:array<{K.LINE}>>>")
 
 
-def _cut(edge: DataFrame) -> DataFrame:
-    """``id, _key, ax, ay, bx, by``: the pieces of edges between the places where they meet others of their key."""
+def repair_polygons(polygons: DataFrame, key: str) -> DataFrame:
+    """``key, geom, n_cuts``: polygons (``key, geom``) whose rings no longer cross themselves or each other.
+
+    Rings are cut where they cross; inside is what the outer ring winds round, in either direction, and no hole does.
+    Parts are mended one by one, and a part may become several; one without area goes, and so does a key without parts.
+    ``n_cuts`` is the number of pieces that crossings added. Repeated points and open rings are mended on the way.
+    Corners are rounded to a tenth of a millimetre. Winding numbers of the pieces are sums over joins by bands, of which
+    a part has as many as the root of its pieces.
+    """
+    ring = polygons.select(F.col(key).alias("_id"), F.posexplode("geom").alias("_part", "p"))
+    hole = "transform(coalesce(p.holes, slice(array(p.outer), 1, 0)), h -> named_struct('r', h, 'o', 0, 'h', 1))"
+    ring = ring.selectExpr("struct(_id, _part) AS _key", f"explode(concat(array(named_struct('r', p.outer, 'o', 1, 'h', 0)), {hole})) AS s").select("_key", "s.*")
+    ring = ring.withColumn("r", G.close_ring(F.col("r"))).selectExpr("_key", "transform(r, q -> named_struct('lon', round(q.lon, 9), 'lat', round(q.lat, 9))) AS r", "o", "h")
+    edge = ring.select("_key", "o", "h", F.explode(G.segments(F.col("r"))).alias("s")).selectExpr("_key", "o", "h", "s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
+    edge = stage(with_seq(_once(edge.where("ax <> bx OR ay <> by"), ["o", "h"]), ["_key", "ax", "ay", "bx", "by"], 0, "id"), "repair-edges")
+    piece = stage(_cut(edge, ["o", "h"]), "repair-pieces")
+    n = piece.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.least("ax", "bx")).alias("_x0"), F.max(F.greatest("ax", "bx")).alias("_x1"), F.min(F.least("ay", "by")).alias("_y0"), F.max(F.greatest("ay", "by")).alias("_y1"))
+    known = piece.join(n, "_key").selectExpr("*", "abs(by - ay) >= abs(bx - ax) AS steep", "greatest(1L, CAST(sqrt(_n) AS BIGINT)) AS _bands")
+    sides = _winding(known, "y").unionByName(_winding(known, "x"))
+    at = lambda s: f"({s}_o <> 0 AND {s}_h = 0)"
+    whole = piece.drop("o", "h").join(sides, "id").selectExpr("*", f"{at('l')} AS left_in", f"{at('r')} AS right_in").where("left_in <> right_in")
+    whole = whole.selectExpr("_key", *(f"CASE WHEN left_in THEN {a} ELSE {b} END AS {a}" for a, b in (("ax", "bx"), ("ay", "by"), ("bx", "ax"), ("by", "ay"))))
+    shaped = _chained(whole, dict(edge.dtypes)["_key"])
+    cuts = n.select("_key", "_n").join(edge.groupBy("_key").agg(F.count(F.lit(1)).alias("_e")), "_key").selectExpr("_key", "_n - _e AS n_cuts")
+    out = shaped.join(cuts, "_key").groupBy(F.col("_key._id").alias(key)).agg(F.array_sort(F.collect_list(F.struct("_key._part", "geom"))).alias("g"), F.sum("n_cuts").alias("n_cuts"))
+    return out.select(key, F.flatten(F.transform("g", lambda x: x["geom"])).alias("geom"), "n_cuts")
+
+
+def _once(edges: DataFrame, nets: list[str]) -> DataFrame:
+    """Each edge of a key once, from its lesser end; ``nets`` are how often it was passed in that direction over the other."""
+    turned = "ax > bx OR (ax = bx AND ay > by)"
+    ends = [f"CASE WHEN {turned} THEN {b} ELSE {a} END AS {a}" for a, b in (("ax", "bx"), ("ay", "by"), ("bx", "ax"), ("by", "ay"))]
+    return edges.selectExpr("_key", *ends, *(f"CASE WHEN {turned} THEN -{c} ELSE {c} END AS {c}" for c in nets)).groupBy("_key", "ax", "ay", "bx", "by").agg(F.count(F.lit(1)).alias("_times"), *(F.sum(c).alias(c) for c in nets)).drop("_times")
+
+
+def _winding(known: DataFrame, axis: str) -> DataFrame:
+    """``id, l_o, r_o, l_h, r_h``: how often outer rings and holes wind round what is left and right of a piece.
+
+    Steep pieces ask along a line to the east (``axis`` y), flat ones along a line to the north (x): the signed sum of
+    the pieces that it crosses is the number on its own side, and the piece itself makes the other.
+    """
+    other = "x" if axis == "y" else "y"
+    asking = known.where("steep" if axis == "y" else "NOT steep").selectExpr("_key", "id", "o", "h", "ax", "ay", "bx", "by", "(ax + bx) / 2 AS mx", "(ay + by) / 2 AS my", "_bands", "_x0", "_x1", "_y0", "_y1")
+    band = lambda v: f"CAST(floor(({v} - _{axis}0) / greatest(_{axis}1 - _{axis}0, 1e-9D) * _bands) AS BIGINT)"
+    asking = asking.selectExpr("*", f"{band(f'm{axis}')} AS _b").drop("_bands", "_x0", "_x1", "_y0", "_y1")
+    met = known.where(f"a{axis} <> b{axis}").selectExpr("_key", "id AS id2", "o AS o2", "h AS h2", "ax AS cx", "ay AS cy", "bx AS dx", "by AS dy", f"explode(sequence({band(f'least(a{axis}, b{axis})')}, {band(f'greatest(a{axis}, b{axis})')})) AS _b")
+    p, q = (f"c{axis}", f"d{axis}"), (f"c{other}", f"d{other}")
+    cross = f"({p[0]} > m{axis}) <> ({p[1]} > m{axis}) AND id <> id2 AND {q[0]} + ({q[1]} - {q[0]}) * (m{axis} - {p[0]}) / ({p[1]} - {p[0]}) > m{other}"
+    # Up counts once for the line to the east, west once for the line to the north.
+    sign = "IF(dy > cy, 1, -1)" if axis == "y" else "IF(dx > cx, -1, 1)"
+    sums = asking.join(met, ["_key", "_b"]).where(cross).groupBy("id").agg(*(F.sum(F.expr(f"{sign} * {c}2")).alias(f"_{c}") for c in "oh"))
+    near = asking.select("id", "o", "h", "ay", "by").join(sums, "id", "left").selectExpr("id", "ay", "by", "o", "h", "coalesce(_o, 0) AS _o", "coalesce(_h, 0) AS _h")
+    if axis == "y":  # the sum is that of the east, which is right of a piece that goes up
+        west = lambda c: f"_{c} + IF(by > ay, {c}, -{c})"
+        return near.selectExpr("id", *(f"IF(by > ay, {west(c)}, _{c}) AS l_{c}" for c in "oh"), *(f"IF(by > ay, _{c}, {west(c)}) AS r_{c}" for c in "oh"))
+    return near.selectExpr("id", *(f"_{c} AS l_{c}" for c in "oh"), *(f"_{c} - {c} AS r_{c}" for c in "oh"))
+
+
+def _cut(edge: DataFrame, nets: list[str] = []) -> DataFrame:  # noqa: B006
+    """``id, _key, ax, ay, bx, by``: the pieces of edges between the places where they meet others of their key; sums of ``nets``."""
     level = _level_of("greatest(bx - ax, abs(by - ay))", "4")
     own = edge.selectExpr("*", f"{level} AS _own")
     levels = own.select(F.col("_own").alias("_level")).distinct()  # a dozen rows at most
@@ -82,11 +143,10 @@ def _cut(edge: DataFrame) -> DataFrame:
     ends = edge.selectExpr("id", "explode(array(named_struct('x', ax, 'y', ay), named_struct('x', bx, 'y', by))) AS p").select("id", "p.*")
     listed = cuts.unionByName(ends).groupBy("id").agg(F.collect_set(F.struct("x", "y")).alias("ps")).join(edge, "id")
     order = "((p.x - ax) * (bx - ax) + (p.y - ay) * (by - ay))"
-    sorted_ = listed.selectExpr("_key", f"array_sort(transform(ps, p -> named_struct('t', {order}, 'x', p.x, 'y', p.y))) AS ps")
+    sorted_ = listed.selectExpr("_key", *nets, f"array_sort(transform(ps, p -> named_struct('t', {order}, 'x', p.x, 'y', p.y))) AS ps")
     pair = "zip_with(slice(ps, 1, size(ps) - 1), slice(ps, 2, size(ps) - 1), (a, b) -> named_struct('ax', a.x, 'ay', a.y, 'bx', b.x, 'by', b.y))"
-    pieces = sorted_.selectExpr("_key", f"explode({pair}) AS s").select("_key", "s.*").where("ax <> bx OR ay <> by")
-    turned = "ax > bx OR (ax = bx AND ay > by)"
-    once = pieces.selectExpr("_key", *(f"CASE WHEN {turned} THEN {b} ELSE {a} END AS {a}" for a, b in (("ax", "bx"), ("ay", "by"), ("bx", "ax"), ("by", "ay")))).distinct()
+    pieces = sorted_.selectExpr("_key", *nets, f"explode({pair}) AS s").select("_key", *nets, "s.*").where("ax <> bx OR ay <> by")
+    once = _once(pieces, nets)
     return with_seq(once, ["_key", "ax", "ay", "bx", "by"], 0, "id")
 
 

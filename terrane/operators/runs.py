@@ -60,6 +60,15 @@ def closed(runs: DataFrame, gap_m: float, cell_m: float) -> DataFrame:
     return low.select("cy", (F.col("x0") + side).alias("x0"), (F.col("x1") - side).alias("x1")).where("x0 <= x1")
 
 
+def part_edges(polygons: DataFrame) -> DataFrame:
+    """``id, part, ax, ay, bx, by``: the edges of all rings of each part of a polygon (``id, geom``); open rings are closed."""
+    none = F.array().cast("array<array<struct<lon:double,lat:double>>>")
+    part = polygons.select("id", F.posexplode("geom").alias("part", "p"))
+    ring = part.select("id", "part", F.explode(F.concat(F.array("p.outer"), F.coalesce(F.col("p.holes"), none))).alias("r"))
+    edge = ring.select("id", "part", F.explode(G.segments(G.close_ring(F.col("r")))).alias("s"))
+    return edge.selectExpr("id", "part", "s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
+
+
 def polygon_runs(polygons: DataFrame, cell_m: float) -> DataFrame:
     """``cy, x0, x1``: the cells whose middle is in a polygon (``id, geom``); runs of several parts may overlap.
 
@@ -67,11 +76,7 @@ def polygon_runs(polygons: DataFrame, cell_m: float) -> DataFrame:
     of a part in a row lies its inside. No polygon is sent with its cells.
     """
     d = cell_degrees(cell_m)
-    none = F.array().cast("array<array<struct<lon:double,lat:double>>>")
-    part = polygons.select("id", F.posexplode("geom").alias("part", "p"))
-    ring = part.select("id", "part", F.explode(F.concat(F.array("p.outer"), F.coalesce(F.col("p.holes"), none))).alias("r"))
-    edge = ring.select("id", "part", F.explode(G.segments(G.close_ring(F.col("r")))).alias("s"))
-    edge = edge.selectExpr("id", "part", "s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
+    edge = part_edges(polygons)
     first, last = f"CAST(ceil(least(ay, by) / {d!r} - 0.5D) AS BIGINT)", f"CAST(ceil(greatest(ay, by) / {d!r} - 0.5D) AS BIGINT) - 1"
     rows = edge.where(f"{first} <= {last}").selectExpr("*", f"explode(sequence({first}, {last})) AS cy")
     cross = rows.selectExpr("id", "part", "cy", f"(ax + (bx - ax) * ((cy + 0.5D) * {d!r} - ay) / (by - ay)) / {d!r} - 0.5D AS x")

@@ -2,43 +2,46 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as G
 from terrane.functions import tiles as X
-from terrane.operators.shared import stage
+from terrane.operators.runs import part_edges
+
+#: Degrees of latitude, just beyond the last row of tiles.
+RIM = 85.06
 
 
 def tile_cover(polygons: DataFrame, max_zoom: int) -> DataFrame:
-    """``id, z, x, y``: the tiles of each zoom that meet the polygon (``id, geom``).
+    """``id, z, x, y``: the tiles of each zoom that meet the polygon (``id, geom``), their sides included.
 
-    A tile meets it if a corner of the tile is inside, a vertex of the polygon is in the tile, or edges cross. A tile is
-    looked at only if its parent was kept, so the work follows the outline, not the envelope.
+    A tile of the highest zoom meets it if an edge passes through the tile or its middle is inside. Edges are followed
+    from row to row of tiles, and what is inside lies between their crossings of a row's middle line, so neither the
+    polygon nor its envelope is held against tiles; lower zooms are parents of these. Rings of one point cover nothing.
     """
-    kept = polygons.select("id", "geom", F.lit(0).alias("z"), F.lit(0).alias("x"), F.lit(0).alias("y"))
-    out = [kept.select("id", "z", "x", "y")]
-    for z in range(1, max_zoom + 1):
-        four = kept.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(3))))
-        four = four.select("id", "geom", F.lit(z).alias("z"), (2 * F.col("x") + F.col("_q") % 2).cast("int").alias("x"), (2 * F.col("y") + F.floor(F.col("_q") / 2)).cast("int").alias("y"))
-        kept = stage(four.where(_meets(z)), "cover")  # each level is looked at once, though the result has all of them
-        out.append(kept.select("id", "z", "x", "y"))
-    return reduce(lambda a, b: a.unionByName(b), out)
-
-
-def _meets(z: int):
-    w, e = X.tile_lon(F.col("x"), z), X.tile_lon(F.col("x") + 1, z)
-    n, s = X.tile_lat(F.col("y"), z), X.tile_lat(F.col("y") + 1, z)
-    box = G.geom_bbox(F.col("geom"))
-    near = (box["min_lon"] <= e) & (box["max_lon"] >= w) & (box["min_lat"] <= n) & (box["max_lat"] >= s)
-    rect = X.tile_rect(F.col("x"), F.col("y"), z)
-    corner = F.exists(rect, lambda p: G.in_geom(p["lon"], p["lat"], F.col("geom")))
-    vertex = F.exists(F.flatten(F.transform("geom", lambda p: p["outer"])), lambda p: p["lon"].between(w, e) & p["lat"].between(s, n))
-    rings = F.flatten(F.transform("geom", lambda p: F.concat(F.array(p["outer"]), F.coalesce(p["holes"], F.array().cast("array<array<struct<lon:double,lat:double>>>")))))
-    cross = F.exists(rings, lambda r: F.exists(G.segments(r), lambda a: F.exists(G.segments(rect), lambda b: G.segments_meet(a, b))))
-    return near & (corner | vertex | cross)
+    n = 1 << max_zoom
+    edge = part_edges(polygons)
+    x = lambda lon: (lon + 180) / 360 * n
+    row = lambda lat: (1 - F.ln(F.tan(F.radians(lat)) + 1 / F.cos(F.radians(lat))) / math.pi) / 2 * n
+    clamp = lambda c: F.greatest(F.lit(0), F.least(F.lit(n - 1), c)).cast("int")
+    lo, hi = (F.greatest(F.lit(-RIM), F.least(F.lit(RIM), f("ay", "by"))) for f in (F.least, F.greatest))
+    rows = edge.withColumn("y", F.explode(F.sequence(clamp(F.ceil(row(hi)) - 1), clamp(F.floor(row(lo))))))
+    # The stretch of longitude that an edge takes within a row.
+    at = lambda lat: F.col("ax") + (F.col("bx") - F.col("ax")) * (lat - F.col("ay")) / (F.col("by") - F.col("ay"))
+    within = lambda lat: F.greatest(F.least("ay", "by"), F.least(F.greatest("ay", "by"), lat))
+    ends = [at(within(X.tile_lat(F.col("y") + k, max_zoom))) for k in (0, 1)]
+    flat = F.col("ay") == F.col("by")
+    west, east = (F.when(flat, f("ax", "bx")).otherwise(f(*ends)) for f in (F.least, F.greatest))
+    passed = rows.withColumn("x", F.explode(F.sequence(clamp(F.ceil(x(west)) - 1), clamp(F.floor(x(east)))))).select("id", "x", "y")
+    middle = X.tile_lat(F.col("y") + 0.5, max_zoom)
+    met = rows.where((F.col("ay") > middle) != (F.col("by") > middle)).groupBy("id", "part", "y").agg(F.array_sort(F.collect_list(x(at(middle)))).alias("xs"))
+    pairs = met.selectExpr("id", "y", "explode(transform(sequence(0, size(xs) div 2 - 1), i -> named_struct('a', ceil(xs[2 * i] - 0.5D), 'b', ceil(xs[2 * i + 1] - 0.5D) - 1))) AS p").where("p.a <= p.b")
+    inner = pairs.select("id", F.explode(F.sequence(clamp(F.col("p.a")), clamp(F.col("p.b")))).alias("x"), "y")
+    up = passed.union(inner).withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(max_zoom))))
+    return up.selectExpr("id", "z", f"shiftright(x, {max_zoom} - z) AS x", f"shiftright(y, {max_zoom} - z) AS y").distinct()
 
 
 def compact_tiles(tiles: DataFrame, max_zoom: int) -> DataFrame:

@@ -324,6 +324,41 @@ def united_boundaries(spark, d):
     return out.select("k", F.round(area, 9).alias("area"), *(F.col(f"b.{c}").alias(n) for c, n in (("min_lon", "west"), ("max_lon", "east"), ("min_lat", "south"), ("max_lat", "north"))))
 
 
+def _cover_sql(z):
+    """Tiles of a zoom that meet the shapes, tile by tile: an edge's envelope and line meet the tile, or its corner is inside."""
+    n = 1 << z
+    y = lambda lat: f"CAST(floor((1 - ln(tan(radians({lat})) + 1 / cos(radians({lat}))) / pi()) / 2 * {n}) AS BIGINT)"
+    north = lambda r: f"degrees(atan((exp(pi() - 2 * pi() * ({r}) / {n}) - exp(2 * pi() * ({r}) / {n} - pi())) / 2))"
+    off = lambda x, y: f"((fx - ex) * ({y} - ey) - (fy - ey) * ({x} - ex))"
+    corners = ", ".join(off(a, b) for a in ("w", "o") for b in ("n", "s"))
+    return f"""bx AS (SELECT id, min(lon) AS x0, max(lon) AS x1, min(lat) AS y0, max(lat) AS y1 FROM shape_ring GROUP BY id),
+tx AS (SELECT *, unnest(range(CAST(floor((x0 + 180) / 360 * {n}) AS BIGINT), CAST(floor((x1 + 180) / 360 * {n}) AS BIGINT) + 1)) AS x FROM bx),
+ty AS (SELECT id, x, unnest(range({y('y1')}, {y('y0')} + 1)) AS y FROM tx),
+r AS (SELECT id, x, y, x / {n}.0 * 360 - 180 AS w, (x + 1) / {n}.0 * 360 - 180 AS o, {north('y')} AS n, {north('y + 1')} AS s FROM ty),
+cover AS (SELECT DISTINCT r.id, x, y, w, o, n, s FROM r JOIN e ON r.id = e.id AND least(ex, fx) <= o AND greatest(ex, fx) >= w AND least(ey, fy) <= n AND greatest(ey, fy) >= s AND least({corners}) <= 0 AND greatest({corners}) >= 0
+ UNION SELECT id, x, y, w, o, n, s FROM (SELECT r.id, e.part, x, y, w, o, n, s, count(*) AS k FROM r JOIN e ON r.id = e.id AND (ey > n) <> (fy > n) AND w < (fx - ex) * (n - ey) / (fy - ey) + ex GROUP BY ALL) WHERE k % 2 = 1)"""
+
+
+@query("shape_ring", sql=f"WITH {_SHAPE}, {_cover_sql(17)} SELECT CAST(id AS BIGINT) AS id, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y FROM cover")
+def shape_tiles(spark, d):
+    """The tiles of slanted shapes with holes and second parts."""
+    return TI.tile_cover(shapes(spark, d), 17).where("z = 17").select(F.col("id").cast("bigint").alias("id"), "x", "y")
+
+
+@query("osm_node", "shape_ring", sql=f"WITH {_TILES}, {_SHAPE}, {_cover_sql(16)} SELECT t.z, t.x, t.y FROM t WHERE EXISTS (SELECT 1 FROM cover c WHERE c.x = t.x AND c.y = t.y)")
+def extracted_tileset(spark, d):
+    """The whole tile job: the stored tiles of all shapes."""
+    return jobs.extract_tileset(_node_tiles(spark, d), shapes(spark, d), 16, exact=True)["tile"].select("z", "x", "y")
+
+
+@query("shape_ring", sql=f"WITH {_SHAPE}, {_cover_sql(15)} SELECT CAST(id AS BIGINT) AS id, round(sum((o - w) * (n - s)), 9) AS area, round(min(w), 9) AS west, round(max(n), 9) AS north FROM cover GROUP BY id")
+def shape_coverage(spark, d):
+    """The area that tiles of the shapes cover, compacted, out of its GeoJSON."""
+    c = jobs.poi_coverage(shapes(spark, d), 15).withColumn("geom", G.geom_from_geojson(F.col("geojson"))).withColumn("b", G.geom_bbox(F.col("geom")))
+    area = F.aggregate("geom", F.lit(0.0), lambda a, p: a + G.ring_area(p["outer"]))
+    return c.select(F.col("id").cast("bigint").alias("id"), F.round(area, 9).alias("area"), F.round("b.min_lon", 9).alias("west"), F.round("b.max_lat", 9).alias("north"))
+
+
 # Batches
 
 
