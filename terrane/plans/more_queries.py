@@ -13,6 +13,7 @@ from terrane.operators import areas as A
 from terrane.operators import entities as E
 from terrane.operators import houses as H
 from terrane.operators import kernels as K
+from terrane.operators import overlay as OV
 from terrane.operators import places as P
 from terrane.operators import runs as R
 from terrane.operators import spatial as S
@@ -258,6 +259,20 @@ def nodes_in_shapes(spark, d):
     return S.points_in_polygons(lens(spark, d, "osm_node"), shapes(spark, d))
 
 
+@query("boundary_ring", sql="""
+WITH b AS (SELECT id, min(lon) AS x0, max(lon) AS x1, min(lat) AS y0, max(lat) AS y1 FROM boundary_ring GROUP BY id), f AS (SELECT *, 0.25 + 0.25 * (id % 4) AS f, (x1 - x0) * (y1 - y0) AS wh FROM b)
+SELECT id, CAST(2 AS INTEGER) AS n_parts, CAST(2 AS BIGINT) AS n_cuts, round(wh * (f * f / (1 + f) + 1 / (1 + f)) / 2, 8) AS area, round(x0 + (x1 - x0) * f / (1 + f), 8) AS middle FROM f""")
+def repaired_bows(spark, d):
+    """A ring through the corners of each boundary that crosses itself: two lobes that meet where it does."""
+    b = boundary(spark, d).withColumn("b", G.geom_bbox(F.col("geom"))).selectExpr("id", "b.min_lon AS x0", "b.max_lon AS x1", "b.min_lat AS y0", "b.max_lat AS y1", "0.25D + 0.25D * (id % 4) AS f")
+    c = lambda x, y: F.struct(F.col(x).alias("lon"), F.expr(y).alias("lat"))
+    none = F.array().cast("array<array<struct<lon:double,lat:double>>>")
+    bow = b.select("id", F.array(F.struct(F.array(c("x0", "y0"), c("x1", "y1"), c("x1", "y0"), c("x0", "y0 + (y1 - y0) * f")).alias("outer"), none.alias("holes"))).alias("geom"))
+    area = F.aggregate("geom", F.lit(0.0), lambda a, p: a + G.ring_area(p["outer"]))
+    shared = F.array_intersect(F.col("geom")[0]["outer"], F.col("geom")[1]["outer"])
+    return OV.repair_polygons(bow, "id").select("id", F.size("geom").alias("n_parts"), "n_cuts", F.round(area, 8).alias("area"), F.round(shared[0]["lon"], 8).alias("middle"))
+
+
 _CELL = f"degrees(10.0 / {G.EARTH_RADIUS!r})"
 _SIDE = f"CAST(greatest(1, round(1.5 / cos(radians((cy + 0.5) * {_CELL})))) AS BIGINT)"
 
