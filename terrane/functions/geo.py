@@ -52,6 +52,11 @@ def rectangle(lon: Column, lat: Column, m: Column) -> Column:
     return F.array(*(point(lon + x * d["dlon"], lat + y * d["dlat"]) for x, y in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Rounded as whole units of the last digit, in binary: what ``round`` of doubles gives in most SQL engines."""
+    return F.round(c * 10.0**digits) / 10.0**digits
+
+
 def to_fixed(c: Column) -> Column:
     return F.round(c * FIXED).cast("int")
 
