@@ -54,3 +54,15 @@ def test_names_are_scored_once_a_pair(spark, tables):
     assert agrees(spark, d, "fuzzy_street_names") > 50
     text = plan(entry.queries()["fuzzy_street_names"](spark, d))
     assert "Aggregate [a" in text[text.index("ArrowEvalPython") :]
+
+
+def test_nearest_and_candidates_go_by_places(spark, tables, monkeypatch):
+    """What is written on the way follows the distinct places, not the pairs of rows at them."""
+    from terrane.operators import spatial as S
+
+    d = tables(supplier="SELECT * REPLACE (s_suppkey + 100 * i AS s_suppkey) FROM supplier, range(40) AS r(i)", customer="SELECT * REPLACE (c_custkey + 499 * 397 * i AS c_custkey) FROM customer, range(10) AS r(i)")
+    assert agrees(spark, d, "nearest_cities") > 1000
+    staged = []
+    monkeypatch.setattr(S, "stage", lambda df, name, own=S.stage: staged.append(own(df, name)) or staged[-1])
+    rows = agrees(spark, d, "city_candidates")
+    assert rows > 100 * sum(df.count() for df in staged) / 10
