@@ -121,8 +121,11 @@ def complete(e: Entities, kept: Entities) -> Entities:
 
 
 def nodes_by_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows by a list ``pos, id``, in its order and with its repeats; ids that are missing are left out."""
-    return ids.join(df, "id").orderBy("pos")
+    """Rows by a list ``pos, id``, in its order and with its repeats; ids that are missing are left out.
+
+    Where positions repeat, as in a list of many ways, ids part the ranges that are sorted.
+    """
+    return ids.join(df, "id").orderBy("pos", "id")
 
 
 def contains_id(df: DataFrame, entity_id: int) -> bool:

@@ -66,3 +66,12 @@ def test_nearest_and_candidates_go_by_places(spark, tables, monkeypatch):
     monkeypatch.setattr(S, "stage", lambda df, name, own=S.stage: staged.append(own(df, name)) or staged[-1])
     rows = agrees(spark, d, "city_candidates")
     assert rows > 100 * sum(df.count() for df in staged) / 10
+
+
+def test_a_list_with_repeated_positions_is_many_ranges(spark):
+    from terrane.operators import entities as E
+
+    ids = spark.range(4000).select((F.col("id") % 2).alias("pos"), "id")
+    out = E.nodes_by_ids(spark.range(4000).select("id"), ids)
+    with_parts = out.select("pos", "id", F.spark_partition_id().alias("p")).collect()
+    assert [(r.pos, r.id) for r in with_parts] == sorted((i % 2, i) for i in range(4000))
