@@ -29,8 +29,8 @@ def cell_degrees(cell_m: float) -> float:
 
 
 def shrinkage(cell_m: float) -> Column:
-    """How much narrower a cell of row ``cy`` is than high; not under that of 89 degrees."""
-    return F.greatest(F.lit(math.cos(math.radians(89))), F.cos(F.radians((F.col("cy") + 0.5) * cell_degrees(cell_m))))
+    """How much narrower a cell of row ``cy`` is than high; nothing past a pole."""
+    return F.greatest(F.lit(0.0), F.cos(F.radians((F.col("cy") + 0.5) * cell_degrees(cell_m))))
 
 
 def sweep(runs: DataFrame, state: str, keys: tuple[str, ...] = ("cy",), weight: str = "1") -> DataFrame:
@@ -52,7 +52,10 @@ def merged(runs: DataFrame) -> DataFrame:
 def closed(runs: DataFrame, gap_m: float, cell_m: float) -> DataFrame:
     """Runs after gaps up to ``gap_m`` are closed: grown by half of it along rows, then across, and shrunk in the opposite order."""
     up = max(1, round(gap_m / cell_m / 2))
-    side = F.greatest(F.lit(1), F.round(F.lit(gap_m / cell_m / 2) / shrinkage(cell_m))).cast("bigint")
+    # At a pole half the earth's girth is enough; past it there are no metres, and a cell is one.
+    girth = 180 / cell_degrees(cell_m)
+    narrow = shrinkage(cell_m)
+    side = F.when(narrow > 0, F.least(F.lit(girth), F.greatest(F.lit(1.0), F.round(F.lit(gap_m / cell_m / 2) / narrow)))).otherwise(1.0).cast("bigint")
     wide = merged(runs.select("cy", (F.col("x0") - side).alias("x0"), (F.col("x1") + side).alias("x1")))
     across = lambda df: df.select(F.explode(F.sequence(F.col("cy") - up, F.col("cy") + up)).alias("cy"), "x0", "x1")
     high = merged(across(wide))
@@ -86,11 +89,14 @@ def polygon_runs(polygons: DataFrame, cell_m: float) -> DataFrame:
 
 
 def square_runs(points: DataFrame, half_m: float, cell_m: float) -> DataFrame:
-    """``cy, x0, x1``: the cells that squares of ``half_m`` metres round points (``lon, lat``) meet."""
+    """``cy, x0, x1``: the cells that squares of ``half_m`` metres round points (``lon, lat``) meet.
+
+    A square that reaches round a pole takes half the earth's girth to each side; points past a pole have none.
+    """
     d = cell_degrees(cell_m)
     half = G.m_to_dlon_dlat(F.col("lat"), F.lit(half_m))
     at = lambda c: F.floor(c / d).cast("bigint")
-    box = points.select("lon", "lat", half.alias("h")).select(*(at(F.col(c) + s * F.col(f"h.{k}")).alias(n) for n, c, k, s in (("x0", "lon", "dlon", -1), ("x1", "lon", "dlon", 1), ("y0", "lat", "dlat", -1), ("y1", "lat", "dlat", 1))))
+    box = points.select("lon", "lat", half.alias("h")).where("h.dlon > 0").withColumn("h", F.struct(F.least(F.lit(180.0), F.col("h.dlon")).alias("dlon"), "h.dlat")).select(*(at(F.col(c) + s * F.col(f"h.{k}")).alias(n) for n, c, k, s in (("x0", "lon", "dlon", -1), ("x1", "lon", "dlon", 1), ("y0", "lat", "dlat", -1), ("y1", "lat", "dlat", 1))))
     return box.select(F.explode(F.sequence("y0", "y1")).alias("cy"), "x0", "x1")
 
 

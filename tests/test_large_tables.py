@@ -75,3 +75,22 @@ def test_a_list_with_repeated_positions_is_many_ranges(spark):
     out = E.nodes_by_ids(spark.range(4000).select("id"), ids)
     with_parts = out.select("pos", "id", F.spark_partition_id().alias("p")).collect()
     assert [(r.pos, r.id) for r in with_parts] == sorted((i % 2, i) for i in range(4000))
+
+
+def test_residential_cover_near_and_past_a_pole(spark, tables):
+    d = tables(part="SELECT * REPLACE (CASE WHEN p_partkey < 3 THEN 987500 + p_partkey ELSE 1100000 + p_partkey END AS p_partkey) FROM part WHERE p_partkey < 60")
+    assert agrees(spark, d, "residential_cover") > 100
+
+
+def test_residential_areas_at_a_pole(spark, tables):
+    d = tables(part=POLAR)
+    cells = {tuple(r) for r in entry.queries()["residential_cells"](spark, d).select("area", "n_cells").collect()}
+    assert cells and max(n for _, n in cells) < 50 * 4e7 / 10
+
+
+def test_lines_to_a_pole_and_past_it_are_passed_over(spark):
+    from terrane.operators import spatial as S
+
+    points = spark.createDataFrame([(1, 14.0001, 50.0001), (2, 14.0001, 60.0), (3, 14.0, 89.0)], "id long, lon double, lat double")
+    lines = spark.createDataFrame([(1, 14.0, 50.0, 14.0, 50.0002), (2, 14.0, 88.0, 14.0, 90.0), (3, 14.0, 70.0, 14.1, 97.0)], "line_id long, ax double, ay double, bx double, by double")
+    assert {(r.id, r.line_id) for r in S.nearest_segment(points, lines, 200.0).collect()} == {(1, 1), (3, 2)}
