@@ -245,11 +245,12 @@ def nearest_line(points: DataFrame, segments: DataFrame, radii_m: list[float], k
     return out
 
 
-def _pieces(segments: DataFrame, deg: float, max_m: float) -> DataFrame:
+def _pieces(segments: DataFrame, deg: float, max_m: float, rows: DataFrame | None = None) -> DataFrame:
     """``segments`` by pieces of at most a cell, with a row for each cell ``_cx, _cy`` that a piece comes within ``max_m`` metres of.
 
     A slanting segment's envelope would take cells far from it; its pieces do not. ``_f`` and ``_t`` are where the piece
-    begins and ends along its segment; a segment that has them already is divided between them.
+    begins and ends along its segment; a segment that has them already is divided between them. With ``rows`` (``_cy``)
+    only pieces in these rows are entered, before their columns: near a pole a piece has very many.
     """
     if "_f" not in segments.columns:
         segments = segments.selectExpr("*", "0D AS _f", "1D AS _t")
@@ -260,16 +261,29 @@ def _pieces(segments: DataFrame, deg: float, max_m: float) -> DataFrame:
     # A little more than asked, as cells are left by rounding too. The margin is that of the end further from the equator.
     turn = f"degrees({max_m * 1.05 + 0.01} / {G.EARTH_RADIUS})"
     span = lambda p, q, by: f"explode(sequence(cast(floor((least({p}, {q}) - {by}) / {deg}) AS bigint), cast(floor((greatest({p}, {q}) + {by}) / {deg}) AS bigint)))"
-    wide = parts.selectExpr("*", f"{span('_x0', '_x1', f'{turn} / cos(radians(greatest(abs(_y0), abs(_y1))))')} AS _cx")
-    return wide.selectExpr(*keep, "_f", "_t", "_cx", f"{span('_y0', '_y1', turn)} AS _cy")
+    tall = parts.selectExpr("*", f"{span('_y0', '_y1', turn)} AS _cy")
+    if rows is not None:
+        tall = tall.join(rows, "_cy", "left_semi")
+    narrow = "cos(radians(greatest(abs(_y0), abs(_y1))))"
+    # From a pole all longitudes are near.
+    margin = f"CASE WHEN {narrow} * 180 > {turn} THEN {turn} / {narrow} ELSE 180D END"
+    return tall.selectExpr(*keep, "_f", "_t", f"{span('_x0', '_x1', margin)} AS _cx", "_cy")
 
 
 def segments_round(points: DataFrame, segments: DataFrame, max_m: float, deg: float) -> DataFrame:
-    """Pieces of segments by cell, as :func:`_pieces` gives them, without what is in no coarse cell with a point."""
+    """Pieces of segments by cell, as :func:`_pieces` gives them, without what is in no coarse cell with a point.
+
+    What is north or south of all points goes first, then what is in no row with a point.
+    """
     coarse = 16 * deg
     held = points.selectExpr(f"cast(floor(lon / {coarse}) AS bigint) AS _cx", f"cast(floor(lat / {coarse}) AS bigint) AS _cy").distinct()
-    some = _pieces(segments, coarse, max_m).join(held, ["_cx", "_cy"], "left_semi").drop("_cx", "_cy").distinct()
-    return _pieces(some, deg, max_m).drop("_f", "_t")
+    turn = f"degrees({max_m * 1.05 + 0.01} / {G.EARTH_RADIUS})"
+    reach = points.selectExpr("lat").agg(F.min("lat").alias("_s"), F.max("lat").alias("_n")).selectExpr(f"_s - {turn} AS _s", f"_n + {turn} AS _n")
+    # One row, so the join is a filter.
+    close = segments.join(F.broadcast(reach), F.expr("greatest(ay, by) >= _s AND least(ay, by) <= _n")).drop("_s", "_n")
+    some = _pieces(close, coarse, max_m, held.select("_cy").distinct()).join(held, ["_cx", "_cy"], "left_semi").drop("_cx", "_cy").distinct()
+    fine = points.selectExpr(f"cast(floor(lat / {deg}) AS bigint) AS _cy").distinct()
+    return _pieces(some, deg, max_m, fine).drop("_f", "_t")
 
 
 def near_segments(points: DataFrame, segments: DataFrame, max_m: float, keys: tuple[str, ...] = ()) -> DataFrame:
