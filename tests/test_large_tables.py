@@ -94,3 +94,43 @@ def test_lines_to_a_pole_and_past_it_are_passed_over(spark):
     points = spark.createDataFrame([(1, 14.0001, 50.0001), (2, 14.0001, 60.0), (3, 14.0, 89.0)], "id long, lon double, lat double")
     lines = spark.createDataFrame([(1, 14.0, 50.0, 14.0, 50.0002), (2, 14.0, 88.0, 14.0, 90.0), (3, 14.0, 70.0, 14.1, 97.0)], "line_id long, ax double, ay double, bx double, by double")
     assert {(r.id, r.line_id) for r in S.nearest_segment(points, lines, 200.0).collect()} == {(1, 1), (3, 2)}
+
+
+def test_streets_by_names_are_not_shuffled_as_pairs(spark, tables):
+    from terrane.operators import streets as ST
+
+    d = tables()
+    agrees(spark, d, "street_by_names")
+    text = plan(entry.queries()["street_by_names"](spark, d))
+    assert "Aggregate" not in text[: text.index("Join")]
+    wanted = spark.createDataFrame([(1, "Ulm", "High St"), (1, "Bern", "high st"), (2, "Bern", "Low St"), (3, None, "Low St")], "id long, city string, street string")
+    street = spark.createDataFrame([(10, "High St"), (11, "Low St")], "id long, name string")
+    held = spark.createDataFrame([(10, 7), (10, 8), (11, 8), (11, 8)], "street_id long, city_id long")
+    names = spark.createDataFrame([(7, "ulm"), (8, "Bern"), (8, "Ulm")], "id long, name string")
+    assert sorted(map(tuple, ST.street_by_names(wanted, street, held, names).collect())) == [(1, 10), (2, 11)]
+
+
+def test_lines_go_through_python_by_batches(spark, tables):
+    from terrane.operators import streets as ST
+
+    d = tables()
+    assert agrees(spark, d, "merged_lines") > 1000
+    assert "FlatMapGroups" not in plan(entry.queries()["merged_lines"](spark, d))
+    lines = spark.createDataFrame([(1, [(0.0, 0.0), (1.0, 0.0)]), (1, [(2.0, 0.0), (1.0, 0.0)]), (2, None), (3, [(5.0, 5.0)])], "street_id long, coords array<struct<lon:double,lat:double>>")
+    got = {r.street_id: [[tuple(p) for p in x] for x in r.geom] for r in ST.merge_lines(lines).collect()}
+    assert got == {1: [[(0.0, 0.0), (1.0, 0.0), (2.0, 0.0)]], 2: [], 3: []}
+
+
+def test_short_lines_are_simplified_as_long_ones(spark, monkeypatch):
+    import random
+
+    from terrane.operators import kernels as K
+
+    rnd = random.Random(5)
+    lines = [[(rnd.randrange(50) * 0.002, rnd.randrange(400) * 0.002) for _ in range(rnd.randrange(1, 14))] for _ in range(400)]
+    short = [K.simplify(x, 0.01) for x in lines]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)] + [(400, None)], "id long, c array<struct<lon:double,lat:double>>")
+    through = {r.id: [tuple(p) for p in r.c] for r in df.select("id", K.simplify_line(F.col("c"), 0.01).alias("c")).collect()}
+    assert through == dict(enumerate([*short, []]))
+    monkeypatch.setattr(K, "SHORT", 0)
+    assert short == [K.simplify(x, 0.01) for x in lines]
