@@ -147,6 +147,10 @@ def lines_in_polygons(lines: DataFrame, polygons: DataFrame, index: DataFrame |
     ends = ("s.a.lon AS ax", "s.a.lat AS ay", "s.b.lon AS bx", "s.b.lat AS by")
     left = cut.selectExpr("id", *ends).selectExpr("*", f"{level} AS _own")
     right = polygon_edges(polygons).selectExpr("poly_id", "ax", "ay", "bx", "by").selectExpr("*", f"{level} AS _own")
+    # What is on one side of all polygons goes before anything is entered in cells; the envelope is one row.
+    side = (("min(least(ax, bx)) - 1e-6", "_w"), ("max(greatest(ax, bx)) + 1e-6", "_e"), ("min(least(ay, by)) - 1e-6", "_s"), ("max(greatest(ay, by)) + 1e-6", "_n"))
+    around = right.agg(*(F.expr(e).alias(n) for e, n in side))
+    left = left.join(F.broadcast(around), F.expr("greatest(ax, bx) >= _w AND least(ax, bx) <= _e AND greatest(ay, by) >= _s AND least(ay, by) <= _n")).drop("_w", "_e", "_s", "_n")
     levels = left.select("_own").distinct().union(right.select("_own").distinct()).distinct().select(F.col("_own").alias("_level"))  # a dozen rows at most
 
     def enter(df: DataFrame) -> DataFrame:
