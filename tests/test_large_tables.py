@@ -180,3 +180,15 @@ def test_gridded_lines_do_not_grow_with_the_way(spark, tables, monkeypatch):
         monkeypatch.setattr(ST, name, lambda df, deg, own=getattr(ST, name, None): made.append(own(df, deg)) or made[-1])
     assert agrees(spark, d, "gridded_lines") > 1000
     assert made[0].count() < 3 * 6005
+
+
+def test_extracts_make_the_ways_once(spark, tables, monkeypatch):
+    """Ways and members are made once, however often they are asked; results are those of the SQL."""
+    from terrane.plans import jobs
+
+    d = tables()
+    asked = []
+    monkeypatch.setattr(jobs.S, "extract_regions", lambda node, way_node, member, *rest, own=jobs.S.extract_regions: asked.append((way_node, member)) or own(node, way_node, member, *rest))
+    assert agrees(spark, d, "extracted_entities") > 10
+    assert agrees(spark, d, "extracted_smart") > 1000
+    assert all("Window" not in plan(df) and "Join" not in plan(df) and "Relation" in plan(df) for pair in asked for df in pair)
