@@ -192,3 +192,31 @@ def test_extracts_make_the_ways_once(spark, tables, monkeypatch):
     assert agrees(spark, d, "extracted_entities") > 10
     assert agrees(spark, d, "extracted_smart") > 1000
     assert all("Window" not in plan(df) and "Join" not in plan(df) and "Relation" in plan(df) for pair in asked for df in pair)
+
+
+def test_polygons_of_one_shape_meet_lines_once(spark):
+    """What is made on the way follows the distinct shapes; the result has every polygon."""
+    from terrane.operators import spatial as S
+
+    square = lambda x: [([(x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0), (x, 0.0)], [])]
+    rows = [(i, square(float(i % 2))) for i in range(40)]
+    polygons = spark.createDataFrame(rows, "id long, geom array<struct<outer:array<struct<lon:double,lat:double>>,holes:array<array<struct<lon:double,lat:double>>>>>")
+    lines = spark.createDataFrame([(1, [(0.5, -1.0), (0.5, 2.0)]), (2, [(0.5, 0.5), (1.5, 0.5)]), (3, [(5.0, 5.0), (6.0, 6.0)])], "id long, coords array<struct<lon:double,lat:double>>")
+    shapes = S.shapes_of(polygons)
+    index = S.stage(S.polygon_index(shapes[0]), "index")
+    assert shapes[0].count() == 2 and index.select("poly_id").distinct().count() == 2
+    key = lambda df: sorted(tuple(r) for r in df.select("id", "poly_id").collect())
+    assert key(S.lines_in_shapes(lines, shapes, index)) == key(S.lines_in_polygons(lines, polygons)) == sorted([(1, i) for i in range(0, 40, 2)] + [(2, i) for i in range(40)])
+    points = lines.select("id", *(lines["coords"][1][c].alias(c) for c in ("lon", "lat")))
+    assert key(S.points_in_shapes(points, shapes, index)) == key(S.points_in_polygons(points, polygons)) == [(2, i) for i in range(1, 40, 2)]
+
+
+def test_pairs_of_places_and_cities_are_not_broadcast(spark, monkeypatch):
+    from terrane.plans import jobs
+
+    plans = {}
+    monkeypatch.setattr(jobs, "stage", lambda df, name, own=jobs.stage: plans.update({name: plan(df)}) or own(df, name))
+    spot = spark.createDataFrame([(1, [], 14.0, 50.0)], "id long, in_list array<string>, lon double, lat double")
+    places = spark.createDataFrame([(7, "A", 1, 100, ["A"], 14.0, 50.001, None)], "id long, name string, type_code int, population int, names array<string>, lon double, lat double, geom array<string>")
+    assert [tuple(r) for r in jobs.cities_of(spot, spark.createDataFrame([(1, 7)], "id long, poly_id long"), places).collect()] == [(1, 7)]
+    assert "strategy=merge" in plans["pairs"]
