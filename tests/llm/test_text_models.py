@@ -157,6 +157,40 @@ def test_covered_tokens_match_a_plain_suffix_array(spark):
     assert got == want
 
 
+def test_suffixes_are_in_order_with_their_lcp(spark):
+    """Ranges cut through an interval that all pages of a host are in; tokens may hold control characters."""
+    r = random.Random(3)
+    menu = "home news sport weather all about us here"
+    texts = [(f"h{i % 3 // 2}", i, [menu, " ".join(r.choices(["a", "b", "a\x01", "\u00e9", "b-"], k=r.randrange(0, 30)))]) for i in range(120)]
+    rows = [(h, str(i), i, True, [{"kind": 1, "text": t} for t in ts]) for h, i, ts in texts]
+    df = spark.createDataFrame(rows, "_host string, _page string, _row long, _open boolean, rest array<struct<kind:int,text:string>>").repartition(5)
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}  # small ranges are not put together
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        got = sorted(html.suffix_array(df, 5, 20).collect(), key=lambda x: (x.part, x.place))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tokens = {i: " ".join(ts).split() for _, i, ts in texts}
+    want = sorted(((h, "".join(w + " " for w in tokens[i][k : k + 20]).encode(), i, k) for h, i, _ in texts for k in range(len(tokens[i]) - 4)))
+    assert [(x._host, x._row, x.start) for x in got] == [(h, i, k) for h, _, i, k in want]
+    assert len({x.part for x in got}) > 4
+    number = 0
+    for at, x in enumerate(got):
+        own = tokens[x._row][x.start : x.start + 20]
+        if at:
+            y = got[at - 1]
+            other = tokens[y._row][y.start : y.start + 20]
+            lcp = next((k for k, (v, w) in enumerate(zip(own, other, strict=False)) if v != w), min(len(own), len(other))) if x._host == y._host else -1
+            assert x.lcp == (lcp if x.part == y.part else None)
+            number += lcp < 5
+        assert x.interval == number
+    menus = [x for x in got if x._host == "h0" and x.start == 0]
+    assert len({x.interval for x in menus}) == 1 and len({x.part for x in menus}) > 1
+
+
 def test_phrases_of_a_large_host_stay(spark):
     menu = "home news sport weather all about us here"
     rows = [(i, "http://h.example/", f"<div><p>{menu}</p><p>page{i} says one two three four five six on day{i}</p><p>{'seldom said by any page here' if i % 40 == 0 else f'own{i}'}</p></div>", None) for i in range(200)]
