@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -544,6 +545,58 @@ def test_variants_of_one_passage_are_one_class_and_copies_cost_no_pairs(spark):
     assert all(got[i].n_dup_words == 180 for i in range(1000, 1500))
 
 
+def plain_overlaps(windows):
+    """Pairs of windows ``key, p, f, first, final, n`` of two functions with a run in common, the lower function first."""
+    return [(x, y) for x in windows for y in windows if x[2] < y[2] and x[1] - x[3] <= y[1] - y[4] and y[1] - y[3] <= x[1] - x[4]]
+
+
+def test_common_windows_stand_together_with_those_beside_them():
+    r = random.Random(31)
+    texts = []
+    for _ in range(40):
+        windows = {(10 * f + k, p, f, max(x, y), min(x, y), 2 if k < 3 else 90) for f in range(5) for k, p, x, y in ((r.randrange(6), r.randrange(50, 250), r.randrange(46), r.randrange(46)) for _ in range(r.randrange(6)))}
+        texts.append(sorted(windows))
+    at = [[{"key": k, "place": p << 27 | f << 24 | a << 12 | b, "n": n} for k, p, f, a, b, n in t] for t in texts]
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("place", pa.int64()), ("n", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(at, kind)], ["node", "at"])
+    got = [x for b in passages._paired(8, 2)([batch]) for x in b.to_pylist()]
+    alone, joint = [], []
+    for node, t in enumerate(texts):
+        pairs = plain_overlaps(t)
+        beside = {w for x, y in pairs if x[5] <= 8 and y[5] <= 8 for w in (x, y)}
+        alone += [(w[0], node, w[1]) for w in beside]
+        joint += [((x[0], y[0]), node, x[1], y[1], max(x[1] - x[3], y[1] - y[3]), min(x[1] - x[4], y[1] - y[4])) for x, y in pairs if x[5] > 8 or y[5] > 8]
+    assert sorted((x["key"], x["node"], x["p"] >> 27) for x in got if x["q"] is None) == sorted(alone)
+    narrowed = lambda x: (x["node"], x["p"] >> 27, x["q"] >> 27, *{((x[c] >> 27) - (x[c] >> 12 & 4095), (x[c] >> 27) - (x[c] & 4095)) for c in "pq"})
+    two = [x for x in got if x["q"] is not None]
+    assert sorted(narrowed(x) for x in two) == sorted((n, p, q, (lo, hi)) for _, n, p, q, lo, hi in joint) and len(alone) > 20 < len(joint)
+    assert len({x["key"] for x in two}) == len({x[0] for x in joint})  # as many keys as there are pairs of values
+    assert len(next(passages._paired(8, 1)([batch]))) == sum(map(len, texts))
+
+
+def test_few_open_windows_of_a_large_group_meet_all_others(spark):
+    rows = [(1, node, node << 27, None, node in (3, 20)) for node in range(30)] + [(2, node, node << 27, 5 << 27, True) for node in range(30)] + [(3, 1, 0, None, True)]
+    grouped = passages._grouped(spark.createDataFrame(rows, "k long, node long, p long, q long, open boolean"), "k")
+    assert {(x.k, x.n) for x in grouped.collect()} == {(1, 2), (2, 30)}
+    met = passages._meetings(grouped, "k", 8, lambda p, q: F.when(q.isNull(), 1).otherwise(3)).collect()
+    first = [x for x in met if len(x.met) == 1]
+    assert {frozenset((x.a, x.b)) for x in first} == {frozenset((o, n)) for o in (3, 20) for n in range(30) if n != o} and len(first) == 57
+    assert all(m.pa == x.a << 27 and m.pb == x.b << 27 for x in first for m in x.met)
+    led = [x for x in met if len(x.met) == 2]
+    assert len({x.b for x in led}) <= 2 and {x.a for x in led} | {x.b for x in led} == set(range(30)) and {x.f for x in led} == {3}
+
+
+def test_words_are_hashed_as_split_takes_them():
+    r = random.Random(37)
+    for _ in range(200):
+        texts = ["".join(r.choices("ab AB\t\n\r\x0b\x0c\x1c\x85é日, ", k=r.choice((0, 1, 3, 40)))) if r.random() < 0.95 else None for _ in range(r.randrange(5))]
+        hashes, begins, n = passages.shingle_hashes(texts)
+        words = [(t or "").encode().lower().split() for t in texts]
+        want = [tuple(w[i : i + 5]) for w in words for i in range(len(w) - 4)]
+        assert n.tolist() == [len(w) for w in words] and begins.tolist() == np.cumsum([0] + [max(0, len(w) - 4) for w in words]).tolist()
+        assert len(hashes) == len(want) and len(set(zip(want, hashes.tolist(), strict=True))) == len(set(want)) == len(set(hashes.tolist()))
+
+
 def test_texts_are_compared_again_only_where_they_meet_anew(spark):
     at = lambda p: p << passages._P
 
