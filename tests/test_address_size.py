@@ -46,6 +46,10 @@ def test_cities_of_one_place_and_kind_meet_a_spot_once(spark, monkeypatch):
     got = sorted(map(tuple, jobs.cities_of(spot, met, places, own[1]).collect()))
     want = sorted(map(tuple, every_pair(spot, S.points_in_polygons(spot, places.where("geom IS NOT NULL").select("id", "geom")), places).collect()))
     assert got == want and len(got) > 1000
+    # The nearest of them is known by the least of each class.
+    near = lambda pairs: sorted(map(tuple, S.nearest_city(spot, pairs, places).select("id", "city_id").collect()))
+    least = jobs.cities_of(spot, met, places, own[1], every=False)
+    assert near(least) == near(spark.createDataFrame(want, "id long, city_id long")) and least.count() < len(want)
     # Spots that name no city are in the first pairs: none meets all of the 300 cities.
     pairs = next(df for name, df in staged if name == "pairs")
     assert 0 < pairs.groupBy("place_id").count().agg(F.max("count")).first()[0] < 250
@@ -70,3 +74,17 @@ def test_cities_of_one_polygon_cut_a_street_once(spark):
     found = sorted((round(min(p.lon for x in r.geom for p in x), 6), round(max(p.lon for x in r.geom for p in x), 6)) for r in street.collect())
     assert found == [(14.02, 14.2), (14.2, 14.36)]
     assert {r.city_id for r in in_city.collect()} == set(range(1, 7))
+
+
+def test_streets_of_similar_names_are_not_shuffled_as_met(spark, monkeypatch):
+    """What a house meets goes to its best by a sum in each task; nothing is joined to it before."""
+    plans = {}
+    monkeypatch.setattr(jobs, "stage", lambda df, name, keep=jobs.stage: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or keep(df, name))
+    line = lambda y: [[(14.0, y), (14.002, y)]]
+    streets = spark.createDataFrame([(1, "Main Street", line(50.001)), (2, "Main Streets", line(50.002)), (3, "Main Street", line(50.0025))], "id long, name string, geom array<array<struct<lon:double,lat:double>>>")
+    houses = spark.createDataFrame([(10, 10, "Main Stree", None, 14.001, 50.0), (11, 11, "Mein Streets", None, 14.001, 50.0021)], "row long, id long, street_name string, place string, lon double, lat double")
+    places = spark.createDataFrame([], PLACE)
+    got = {r.row: r.street_id for r in jobs.link_houses(houses, streets, places).collect()}
+    assert got == {10: 1, 11: 2}
+    # The first join from the top is that of cells.
+    assert "_cx" in next(x for x in plans["alike-houses"].splitlines() if "Join" in x)
