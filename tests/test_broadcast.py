@@ -51,3 +51,17 @@ def test_what_components_broadcast_is_small(spark):
                     if x.name() == "data size" and value.isDefined():
                         sizes.append(value.get())
     assert not [s for s in sizes if "MiB" in s and float(s.split()[0]) > 10], sizes
+
+
+def test_whole_components_do_not_go_through_later_rounds(spark, monkeypatch):
+    """A long chain needs many rounds, a thousand pairs beside it do not."""
+    staged = []
+    monkeypatch.setattr(shared, "stage", lambda df, name, own=shared.stage: (out := own(df, name), staged.append((name, out.count())))[0])
+    pairs = [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(1000)]
+    chain = [((37 * i) % 101, (37 * (i + 1)) % 101) for i in range(100)]
+    loose = [(50_000, 50_000), (60_002, 60_001), (60_001, 60_003), (None, 3)]
+    got = {r.node: r.component for r in shared.components(spark.createDataFrame(pairs + chain + loose, "a long, b long"), "a", "b").collect()}
+    want = {x: p[0] for p in pairs for x in p} | {i: 0 for i in range(101)} | {50_000: 50_000, 60_001: 60_001, 60_002: 60_001, 60_003: 60_001}
+    assert got == want
+    sizes = [n for name, n in staged if name == "labels"]
+    assert len(sizes) > 4 and sizes[0] == len(want) and max(sizes[3:]) <= 101
